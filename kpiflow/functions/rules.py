@@ -125,13 +125,23 @@ def missing_fields(required: list[str], blank_is_null: bool = True) -> Column:
 
 
 def contract_violations(source_name: str) -> Column:
-    """V4: ``field:rule`` labels of broken draft-07 rules.
+    """V4: ``field:rule`` labels of broken draft-07 rules, on a parsed frame
+    whose ``event_time`` is still the raw string.
 
-    ``required`` labels come first; value rules only fire on non-null values,
-    so nullable fields pass when null.
+    Order: ``field:required`` (contract order), ``field:type`` (wrong JSON
+    type, from ``mismatched_fields``), ``event_time:format``, then the value
+    rules. Value rules only fire on non-null values, so nullable fields pass
+    when null.
     """
-    required = [F.when(F.col(c).isNull(), F.lit(f"{c}:required")) for c in REQUIRED[source_name]["contract"]]
-    rules = [
+    required = [
+        F.when(F.col(c).isNull() & ~F.array_contains(F.col("mismatched_fields"), c), F.lit(f"{c}:required"))
+        for c in REQUIRED[source_name]["contract"]
+    ]
+    types = F.transform(F.col("mismatched_fields"), lambda x: F.concat(x, F.lit(":type")))
+    fmt = F.when(
+        F.col("event_time").isNotNull() & F.expr("try_to_timestamp(event_time)").isNull(), F.lit("event_time:format")
+    )
+    rules_ = [
         F.when(F.col(r.field).isNotNull() & r.broken(), F.lit(r.label)) for r in CONTRACT_RULES[source_name]
     ]
-    return F.array_compact(F.array(*(required + rules)))
+    return F.array_compact(F.concat(F.array(*required), types, F.array(fmt, *rules_)))

@@ -47,25 +47,26 @@ def parse_payload(env: DataFrame, entity: Entity) -> DataFrame:
     """Typed payload fields next to the payload and kafka_* lineage.
 
     Adds ``parse_failed`` (null/blank/malformed/non-object) and
-    ``type_mismatch`` (a present, non-null value that does not fit its type).
+    ``mismatched_fields`` / ``type_mismatch`` (present, non-null values that do
+    not fit their declared type; such a field reads as NULL).
     ``event_time`` stays the raw string here; see :func:`cast_event_time`.
     """
     with_variant = env.withColumn("_v", F.expr("try_parse_json(payload)"))
     typed = with_variant.withColumn("_j", F.expr(f"try_variant_get(_v, '$', '{_ddl(entity)}')"))
     parse_failed = F.col("_v").isNull() | ~F.ltrim(F.col("payload")).startswith("{")
-    mismatch = F.lit(False)
+    checks = []
     for name in entity.non_string_fields:
         present = F.expr(f"variant_get(_v, '$.{name}')")
-        mismatch = mismatch | (
-            present.isNotNull() & ~F.expr(f"is_variant_null(variant_get(_v, '$.{name}'))") & F.col(f"_j.{name}").isNull()
-        )
+        wrong = present.isNotNull() & ~F.expr(f"is_variant_null(variant_get(_v, '$.{name}'))") & F.col(f"_j.{name}").isNull()
+        checks.append(F.when(wrong, F.lit(name)))
+    mismatched = F.when(parse_failed, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*checks)))
     return typed.select(
         *[F.col(f"_j.{name}").alias(name) for name in entity.fields],
         "payload",
         *KAFKA_COLS,
         parse_failed.alias("parse_failed"),
-        F.when(parse_failed, F.lit(False)).otherwise(mismatch).alias("type_mismatch"),
-    )
+        mismatched.alias("mismatched_fields"),
+    ).withColumn("type_mismatch", F.size("mismatched_fields") > 0)
 
 
 def cast_event_time(df: DataFrame) -> DataFrame:
