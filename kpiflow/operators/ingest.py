@@ -43,30 +43,52 @@ def _ddl(entity: Entity) -> str:
     return "struct<" + ",".join(f"`{f.name}` {f.dataType.simpleString()}" for f in entity.schema.fields) + ">"
 
 
-def parse_payload(env: DataFrame, entity: Entity) -> DataFrame:
+def parse_payload(env: DataFrame, entity: Entity, field_list: bool = False) -> DataFrame:
     """Typed payload fields next to the payload and kafka_* lineage.
 
     Adds ``parse_failed`` (null/blank/malformed/non-object) and
-    ``mismatched_fields`` / ``type_mismatch`` (present, non-null values that do
-    not fit their declared type; such a field reads as NULL).
+    ``type_mismatch`` (a present, non-null value that does not fit its
+    declared type; such a field reads as NULL). ``field_list=True`` also adds
+    ``mismatched_fields`` (names, for contract reports).
     ``event_time`` stays the raw string here; see :func:`cast_event_time`.
+
+    All parse outputs are produced by one single-row ``inline`` generator over
+    the Variant. Filters on derived columns (the route) cannot be pushed below
+    a Generate, so the optimizer cannot copy the parse into every predicate:
+    each payload is parsed exactly once.
     """
     with_variant = env.withColumn("_v", F.expr("try_parse_json(payload)"))
-    typed = with_variant.withColumn("_j", F.expr(f"try_variant_get(_v, '$', '{_ddl(entity)}')"))
     parse_failed = F.col("_v").isNull() | ~F.ltrim(F.col("payload")).startswith("{")
-    checks = []
-    for name in entity.non_string_fields:
-        present = F.expr(f"variant_get(_v, '$.{name}')")
-        wrong = present.isNotNull() & ~F.expr(f"is_variant_null(variant_get(_v, '$.{name}'))") & F.col(f"_j.{name}").isNull()
-        checks.append(F.when(wrong, F.lit(name)))
-    mismatched = F.when(parse_failed, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*checks)))
-    return typed.select(
+    wrong = {}
+    for f in entity.schema.fields:
+        if f.name not in entity.non_string_fields:
+            continue
+        raw = F.expr(f"variant_get(_v, '$.{f.name}')")
+        typed = F.expr(f"try_variant_get(_v, '$.{f.name}', '{f.dataType.simpleString()}')")
+        wrong[f.name] = raw.isNotNull() & ~F.expr(f"is_variant_null(variant_get(_v, '$.{f.name}'))") & typed.isNull()
+    any_wrong = F.lit(False)
+    for w in wrong.values():
+        any_wrong = any_wrong | w
+    outputs = [
+        parse_failed.alias("parse_failed"),
+        F.expr(f"try_variant_get(_v, '$', '{_ddl(entity)}')").alias("_j"),
+        (~parse_failed & F.coalesce(any_wrong, F.lit(False))).alias("type_mismatch"),
+    ]
+    if field_list:
+        names = F.array_compact(F.array(*[F.when(w, F.lit(n)) for n, w in wrong.items()]))
+        outputs.append(
+            F.when(parse_failed, F.array().cast("array<string>")).otherwise(names).alias("mismatched_fields")
+        )
+    parsed = with_variant.select("payload", *KAFKA_COLS, F.inline(F.array(F.struct(*outputs))))
+    extra = ["mismatched_fields"] if field_list else []
+    return parsed.select(
         *[F.col(f"_j.{name}").alias(name) for name in entity.fields],
         "payload",
         *KAFKA_COLS,
-        parse_failed.alias("parse_failed"),
-        mismatched.alias("mismatched_fields"),
-    ).withColumn("type_mismatch", F.size("mismatched_fields") > 0)
+        "parse_failed",
+        "type_mismatch",
+        *extra,
+    )
 
 
 def cast_event_time(df: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ def q_quarantine(spark, sf_dir):
 
 def _parsed(spark, sf_dir, entity):
     env = _env(spark, sf_dir)
-    return ingest.parse_payload(ingest.project_envelope(topic(env, entity.source_name)), entity).filter(
+    return ingest.parse_payload(ingest.project_envelope(topic(env, entity.source_name)), entity, field_list=True).filter(
         ~F.col("parse_failed")
     )
 
