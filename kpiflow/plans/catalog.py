@@ -270,6 +270,39 @@ def q_late_rows(spark, sf_dir):
     return ops.late_rows(_arrivals(spark, sf_dir))
 
 
+# --- streaming (rows-only checks: HLL distincts / streaming runs) -------------
+
+
+def q_kpis_stream_append(spark, sf_dir):
+    from kpiflow.streaming.replay import replay_gold
+
+    return replay_gold(spark, sf_dir, PROFILE, "append")
+
+
+def q_kpis_stream_live(spark, sf_dir):
+    from kpiflow.streaming.replay import replay_gold
+
+    return replay_gold(spark, sf_dir, PROFILE, "live")
+
+
+def q_approx_sessions(spark, sf_dir):
+    """A5: the streaming flavour of the KPI distincts (HLL) on the batch silver."""
+    s = _silver(spark, sf_dir)
+    return s.groupBy(F.window("event_time", "1 minute").alias("w"), "channel").agg(
+        F.count(F.lit(1)).alias("events_total"),
+        F.approx_count_distinct("session_id", 0.01).alias("approx_sessions"),
+        F.approx_count_distinct("order_id", 0.01).alias("approx_orders"),
+    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "channel",
+             "events_total", "approx_sessions", "approx_orders")
+
+
+STREAM_QUERIES = {
+    "kpis_stream_append": q_kpis_stream_append,
+    "kpis_stream_live": q_kpis_stream_live,
+    "approx_sessions": q_approx_sessions,
+}
+
+
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_route_counts": q_raw_route_counts,
     "bronze_valid_clicks": q_bronze_valid_clicks,
@@ -315,4 +348,6 @@ def presented(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: presented(fn) for name, fn in BATCH_QUERIES.items()}
+    out = {name: presented(fn) for name, fn in BATCH_QUERIES.items()}
+    out.update({name: presented(fn) for name, fn in STREAM_QUERIES.items()})
+    return out
