@@ -2,12 +2,13 @@
 match totals, J5 last-touch attribution.
 
 Batch interval join: the equi-keys (session_id, user_id) are widened with a
-time bucket of the join horizon. An order at time t can only match clicks in
-its own bucket or the one before, so each order is sent to those two buckets
-and the join runs on (session_id, user_id, bucket) plus the exact range
-condition. Every (click, order) pair still meets exactly once, clicks are not
-duplicated (so the left outer join stays exact), and a hot session is spread
-over its time buckets instead of landing in one task with all its pairs.
+time bucket of width B (default: the horizon H). An order at time t can only
+match clicks in its own bucket or the ceil(H / B) buckets before it, so each
+order is copied to those buckets and the join runs on
+(session_id, user_id, bucket) plus the exact range condition. Every
+(click, order) pair still meets exactly once, clicks are not duplicated (so
+the left outer join stays exact), and a hot session is spread over its time
+buckets instead of landing in one task with all its pairs.
 
 Stream: the same range condition on watermarked inputs (state is evicted by
 horizon + watermark); Spark requires append mode for the outer join.
@@ -43,8 +44,8 @@ ATTRIBUTION_COLUMNS = [
 ]
 
 
-def _bucket(ts_col: str, horizon_minutes: int):
-    return F.floor(F.unix_seconds(F.col(ts_col)) / (horizon_minutes * 60)).cast("long")
+def _bucket(ts_col: str, width_minutes: int):
+    return F.floor(F.unix_seconds(F.col(ts_col)) / (width_minutes * 60)).cast("long")
 
 
 def _range_cond(horizon_minutes: int):
@@ -79,9 +80,11 @@ def interval_join(clicks: DataFrame, orders: DataFrame, how: str = "left", setti
             & _range_cond(h)
         )
         return clicks.alias("c").join(o.alias("o"), cond, "leftOuter" if how == "left" else how)
-    c = clicks.withColumn("_jb", _bucket("event_time", h))
-    o = o.withColumn("_ob", _bucket("o_time", h)).withColumn(
-        "_jb", F.explode(F.array(F.col("_ob"), F.col("_ob") - 1))
+    width = settings.join_bucket_minutes
+    back = -(-h // width)  # ceil(h / width)
+    c = clicks.withColumn("_jb", _bucket("event_time", width))
+    o = o.withColumn("_ob", _bucket("o_time", width)).withColumn(
+        "_jb", F.explode(F.sequence(F.col("_ob") - back, F.col("_ob")))
     )
     cond = (
         (F.col("c.session_id") == F.col("o.o_session_id"))

@@ -8,6 +8,7 @@ and returns a lazy DataFrame; nothing is collected. The streaming jobs in
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,15 +29,15 @@ class Bronze:
     orders_routed: DataFrame
     clock: Column | None = None
 
-    @property
+    @cached_property
     def clicks(self) -> DataFrame:
         return ingest.valid_records(self.clicks_routed, CLICKS, self.clock)
 
-    @property
+    @cached_property
     def orders(self) -> DataFrame:
         return ingest.valid_records(self.orders_routed, ORDERS, self.clock)
 
-    @property
+    @cached_property
     def quarantine(self) -> DataFrame:
         return ingest.quarantine_all(
             [

@@ -22,6 +22,10 @@ class Settings:
     watermark_delay: str = "20 minutes"
     watermark_delay_minutes: int = 20
     join_lookback_minutes: int = 45
+    # Width of the time buckets that widen the interval join's equi-keys.
+    # Orders are copied into ceil(lookback / width) + 1 buckets; narrower
+    # buckets split a hot session over more tasks.
+    join_bucket_minutes: int = 45
     trigger_interval: str = "5 seconds"
     kpi_window: str = "1 minute"
     campaign_window: str = "5 minutes"

@@ -78,6 +78,16 @@ def test_bucketed_interval_join_equals_plain_range_join(dense):
     assert fast.exceptAll(plain).count() == 0 and plain.exceptAll(fast).count() == 0
 
 
+def test_narrow_join_buckets_give_the_same_pairs(dense):
+    from kpiflow.settings import Settings
+
+    clicks, orders = dedupe.clean_clicks(dense.clicks), dedupe.clean_orders(dense.orders)
+    wide = attribution.session_attribution(clicks, orders).select("event_id", "order_id")
+    narrow = attribution.session_attribution(clicks, orders, Settings(join_bucket_minutes=7)).select(
+        "event_id", "order_id")
+    assert wide.exceptAll(narrow).count() == 0 and narrow.exceptAll(wide).count() == 0
+
+
 def test_drift_ratios_sum_to_one(dense):
     d = drift.channel_drift(batch.silver(dense))
     sums = d.groupBy("window_start").agg(F.sum("observed_ratio").alias("s"))
