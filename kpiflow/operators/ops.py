@@ -1,11 +1,10 @@
 """Operations metrics over the bronze envelope: O1 throughput, O2 error rate,
 O3 high-watermark snapshots, O4 ingest lag, M11 late-row audit.
 
-Running values in arrival order (high watermark, max event time so far) are
-never computed by one window over a whole topic. They use bucketed prefix
-aggregates: a small per-minute aggregate table gets the running value by
-window function, and rows combine it with an in-bucket running value whose
-window partition is a single (source, minute) bucket.
+Running values in arrival order are never computed by one window over a
+whole topic: the late-row audit uses a range-partitioned ordered scan
+(``kpiflow.plans.ordered``), and the high watermark runs over per-minute
+aggregates of (topic, partition), which are small.
 """
 
 from __future__ import annotations
@@ -125,25 +124,18 @@ def flag_late_rows(arr: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> Dat
     """Mark rows whose event_time is more than the watermark delay behind
     the largest event_time that arrived earlier on the same source (arrival
     order: kafka_ingest_time, kafka_partition, kafka_offset). These are the
-    rows a stateful streaming operator would drop as late."""
-    timed = arr.filter(F.col("event_time").isNotNull()).withColumn(
-        "_ab", F.date_trunc("minute", F.col("kafka_ingest_time"))
-    )
-    bucket_max = timed.groupBy("source_name", "_ab").agg(F.max("event_time").alias("_bmax"))
-    before = Window.partitionBy("source_name").orderBy("_ab").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = bucket_max.select("source_name", "_ab", F.max("_bmax").over(before).alias("_prev_max"))
-    in_bucket = (
-        Window.partitionBy("source_name", "_ab")
-        .orderBy("kafka_ingest_time", "kafka_partition", "kafka_offset")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    joined = timed.join(prefix, ["source_name", "_ab"]).withColumn(
-        "max_event_time_before", F.greatest(F.col("_prev_max"), F.max("event_time").over(in_bucket))
-    )
+    rows a stateful streaming operator may drop as late (Spark may keep some
+    of them: chained operators filter with the previous batch's watermark)."""
+    from kpiflow.plans.ordered import ordered_scan
+
+    timed = arr.filter(F.col("event_time").isNotNull())
+    scanned = ordered_scan(
+        timed, ["source_name"], ["kafka_ingest_time", "kafka_partition", "kafka_offset"], max_col="event_time"
+    ).withColumnRenamed("_max_before", "max_event_time_before").drop("_pos")
     late = F.col("event_time") < F.col("max_event_time_before") - F.expr(
         f"INTERVAL {settings.watermark_delay_minutes} MINUTES"
     )
-    return joined.withColumn("is_late", F.coalesce(late, F.lit(False))).drop("_ab", "_prev_max")
+    return scanned.withColumn("is_late", F.coalesce(late, F.lit(False)))
 
 
 def late_rows(arr: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> DataFrame:

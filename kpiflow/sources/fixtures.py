@@ -8,11 +8,9 @@ late rows described in FIXTURES.md. Everything is a Spark plan over the
 input, so the fixture grows with the table.
 
 Offsets are increasing and contiguous per (source, partition) like Kafka's.
-They are assigned without a single-task sort of a whole partition: rows are
-bucketed by arrival minute, a small per-bucket count table gets a running
-sum (the bucket's base offset), and a row_number inside each bucket adds the
-rest. The heavy shuffle is on (source, partition, minute), which spreads a
-hot Kafka partition across many tasks.
+They are assigned without a single-task sort of a whole partition: an
+ordered scan over range partitions (``kpiflow.plans.ordered``) splits even a
+hot topic partition into balanced contiguous ranges.
 """
 
 from __future__ import annotations
@@ -215,42 +213,36 @@ def envelope(events: DataFrame, profile: str = "dense") -> DataFrame:
 
 
 def assign_offsets(sent: DataFrame) -> DataFrame:
-    """Contiguous per-(source, partition) offsets in arrival order.
+    """Contiguous per-(source, partition) offsets in arrival order
+    (timestamp, m, replay), by a range-partitioned ordered scan."""
+    from kpiflow.plans.ordered import ordered_scan
 
-    Order key: (timestamp, m, replay). Bucketed prefix sums keep every sort
-    inside one (source, partition, minute) bucket.
-    """
-    bucket = F.floor(F.unix_micros(F.col("timestamp")) / 60_000_000).alias("obucket")
-    keyed = sent.withColumn("obucket", bucket)
-    counts = keyed.groupBy("source_name", "partition", "obucket").agg(F.count(F.lit(1)).alias("bucket_rows"))
-    running = Window.partitionBy("source_name", "partition").orderBy("obucket").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    bases = counts.select(
-        "source_name",
-        "partition",
-        "obucket",
-        (F.sum("bucket_rows").over(running) - F.col("bucket_rows")).alias("base_offset"),
-    )
-    within = Window.partitionBy("source_name", "partition", "obucket").orderBy("timestamp", "m", "replay")
-    return (
-        keyed.join(bases, ["source_name", "partition", "obucket"])
-        .withColumn("offset", F.col("base_offset") + F.row_number().over(within) - 1)
-        .drop("obucket", "base_offset")
-    )
+    scanned = ordered_scan(sent, ["source_name", "partition"], ["timestamp", "m", "replay"])
+    return scanned.withColumnRenamed("_pos", "offset")
 
 
-FIXTURE_VERSION = "v2"
+FIXTURE_VERSION = "v4"
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, profile: str) -> str:
-    """Identity of a materialised envelope: input path, size and mtime, profile."""
+    """Identity of a materialised envelope: the code that derives it, input
+    path, size and mtime, profile. A code change never reuses a stale table."""
     import hashlib
 
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     st = fs.getFileStatus(jvm_path)
-    key = f"{FIXTURE_VERSION}|{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}|{profile}"
+    import os
+
+    code = hashlib.sha1()
+    here = os.path.dirname(os.path.abspath(__file__))
+    for rel in ("fixtures.py", os.path.join("..", "plans", "ordered.py")):
+        with open(os.path.join(here, rel), "rb") as fh:
+            code.update(fh.read())
+    key = (
+        f"{FIXTURE_VERSION}|{code.hexdigest()}|{st.getPath().toString()}|{st.getLen()}|"
+        f"{st.getModificationTime()}|{profile}"
+    )
     return hashlib.sha1(key.encode()).hexdigest()[:16]
 
 
