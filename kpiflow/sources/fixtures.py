@@ -15,7 +15,7 @@ hot topic partition into balanced contiguous ranges.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiflow.session import checkpoint_root, ensure_utc

@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from kpiflow.functions import rules
 from kpiflow.functions.channel import normalize_channel

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from kpiflow.operators import attribution, dedupe, drift, ingest, ops, quality
 from kpiflow.plans import batch
-from kpiflow.schemas import CLICKS, ORDERS
+from kpiflow.schemas import CLICKS
 from kpiflow.sources.fixtures import raw_stream_table
 
 
@@ -103,3 +103,8 @@ def test_duplicate_count_never_negative(dense):
 def test_dedupe_plan_limits_groups_before_shuffle(dense):
     plan = dedupe.first_seen(dense.orders, "order_id")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_silver_columns_are_the_attribution_contract(dense):
+    s = batch.silver(dense)
+    assert s.columns == attribution.ATTRIBUTION_COLUMNS + ["event_date", "event_hour", "event_minute"]
