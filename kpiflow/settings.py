@@ -37,6 +37,9 @@ class Settings:
     null_ratio_threshold: float = 0.02
     duplicate_ratio_threshold: float = 0.005
     unknown_event_type_threshold: float = 0.001
+    # Gold partition granularity of the live path: each micro-batch recomputes
+    # and replaces only the slots its rows touch.
+    gold_slot_minutes: int = 10
     max_offsets_per_trigger: int = 60000
     starting_offsets: str = "latest"
     approx_rsd: float = 0.01
