@@ -20,6 +20,7 @@ from kpiflow.operators import attribution, dedupe, drift, ingest, kpis, ops, qua
 from kpiflow.plans import batch
 from kpiflow.schemas import CLICKS, ORDERS
 from kpiflow.session import ensure_utc
+from kpiflow.settings import DEFAULT_SETTINGS
 from kpiflow.sources.fixtures import envelope_path, raw_stream_table, topic
 
 PROFILE = "dense"
@@ -312,8 +313,8 @@ def q_approx_sessions(spark, sf_dir):
     s = _silver(spark, sf_dir)
     return s.groupBy(F.window("event_time", "1 minute").alias("w"), "channel").agg(
         F.count(F.lit(1)).alias("events_total"),
-        F.approx_count_distinct("session_id", 0.01).alias("approx_sessions"),
-        F.approx_count_distinct("order_id", 0.01).alias("approx_orders"),
+        F.approx_count_distinct("session_id", DEFAULT_SETTINGS.approx_rsd).alias("approx_sessions"),
+        F.approx_count_distinct("order_id", DEFAULT_SETTINGS.approx_rsd).alias("approx_orders"),
     ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "channel",
              "events_total", "approx_sessions", "approx_orders")
 

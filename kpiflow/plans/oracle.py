@@ -501,13 +501,9 @@ FROM l GROUP BY 1, 2, 3"""
 SELECT source_name, count(*) AS rows_checked,
   CAST(sum(CASE WHEN event_time < before_max - INTERVAL 20 MINUTE THEN 1 ELSE 0 END) AS BIGINT) AS late_rows
 FROM t GROUP BY source_name"""
-    # Streaming twins: the same KPIs through the append and live streaming
-    # paths (sentinel windows removed); approx_sessions is the HLL flavour.
-    q["kpis_stream_append"] = q["realtime_kpis"]
+    # The live streaming path computes exact distincts and must equal the
+    # batch KPIs. kpis_stream_append and approx_sessions use HLL
+    # (approx_count_distinct, rsd 0.05), which no SQL engine reproduces
+    # bit-for-bit, so they have no oracle here (tolerance-tested in pytest).
     q["kpis_stream_live"] = q["realtime_kpis"]
-    q["approx_sessions"] = sv + """
-SELECT time_bucket(INTERVAL 1 MINUTE, event_time) AS window_start,
-  time_bucket(INTERVAL 1 MINUTE, event_time) + INTERVAL 1 MINUTE AS window_end, channel,
-  count(*) AS events_total, count(DISTINCT session_id) AS approx_sessions, count(DISTINCT order_id) AS approx_orders
-FROM silver GROUP BY 1, 2, 3"""
     return q

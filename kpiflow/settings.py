@@ -42,7 +42,9 @@ class Settings:
     gold_slot_minutes: int = 10
     max_offsets_per_trigger: int = 60000
     starting_offsets: str = "latest"
-    approx_rsd: float = 0.01
+    # Relative error of HLL distinct counts on streams (Spark and the reference
+    # default). Sketch state grows as 1 / rsd^2: 0.01 would be ~32x larger.
+    approx_rsd: float = 0.05
     expected_channel_mix: dict[str, float] = field(
         default_factory=lambda: dict(EXPECTED_CHANNEL_MIX)
     )
