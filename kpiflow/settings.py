@@ -40,6 +40,9 @@ class Settings:
     # Gold partition granularity of the live path: each micro-batch recomputes
     # and replaces only the slots its rows touch.
     gold_slot_minutes: int = 10
+    # State store of the stateful streams (C6). RocksDB keeps join/dedupe
+    # state off the JVM heap and checkpoints incrementally.
+    state_store_provider: str = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     max_offsets_per_trigger: int = 60000
     starting_offsets: str = "latest"
     # Relative error of HLL distinct counts on streams (Spark and the reference
