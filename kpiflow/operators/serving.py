@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiflow.operators.kpis import safe_ratio
+from kpiflow.operators.kpis import exact_avg, safe_ratio
 
 
 def require_columns(df: DataFrame, columns: list[str], what: str = "query") -> DataFrame:
@@ -63,8 +63,8 @@ def conversion_trend(kpis: DataFrame) -> DataFrame:
     return (
         kpis.groupBy("window_start")
         .agg(
-            F.avg("conversion_rate").alias("conversion_rate"),
-            F.avg("gross_revenue").alias("gross_revenue"),
+            exact_avg("conversion_rate", "decimal(30,15)").alias("conversion_rate"),
+            exact_avg("gross_revenue", "decimal(30,10)").alias("gross_revenue"),
         )
         .orderBy("window_start")
     )

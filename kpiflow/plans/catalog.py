@@ -4,7 +4,8 @@ Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
 whole driver ``events`` table (turned into the Kafka-style envelope by
 ``kpiflow.sources.fixtures``). Outputs are presented for comparison with
 the DuckDB oracle: timestamps as UTC wall clock (``timestamp_ntz``), doubles
-rounded to 6 decimals, arrays joined with commas.
+rounded to 6 decimals (binary half-away-from-zero, as DuckDB does), arrays
+joined with commas.
 """
 
 from __future__ import annotations
@@ -33,7 +34,10 @@ def present(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, DoubleType):
-            c = F.round(c, 6)
+            # round(x * 1e6) / 1e6 rounds the binary value half away from zero,
+            # like DuckDB's round(x, 6); Spark's round(x, 6) rounds the
+            # shortest decimal text instead and differs at ties.
+            c = F.round(c * F.lit(1e6), 0) / F.lit(1e6)
         elif isinstance(f.dataType, ArrayType):
             c = F.array_join(c, ",")
         cols.append(c.alias(f.name))

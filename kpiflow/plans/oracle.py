@@ -130,7 +130,7 @@ kpis AS (
     CAST(sum(CASE WHEN event_type = 'add_to_cart' THEN 1 ELSE 0 END) AS BIGINT) AS cart_adds,
     count(DISTINCT order_id) AS orders_total,
     sum(CASE WHEN order_status = 'captured' THEN order_value ELSE CAST(0.0 AS DOUBLE) END) AS gross_revenue,
-    avg(session_intent_score) AS avg_session_intent,
+    avg(CAST(session_intent_score AS DECIMAL(20,10))) AS avg_session_intent,
     CASE WHEN count(DISTINCT session_id) = 0 THEN CAST(0.0 AS DOUBLE)
          ELSE count(DISTINCT order_id) / count(DISTINCT session_id) END AS conversion_rate
   FROM silver GROUP BY 1, 2, 3, 4, 5
@@ -454,7 +454,8 @@ FROM kpis WHERE window_end = (SELECT max(window_end) FROM kpis) GROUP BY window_
     q["revenue_by_channel"] = sv + f"""
 SELECT channel, {_r("sum(gross_revenue)", "gross_revenue")} FROM kpis GROUP BY channel ORDER BY 2 DESC"""
     q["conversion_trend"] = sv + f"""
-SELECT window_start, {_r("avg(conversion_rate)", "conversion_rate")}, {_r("avg(gross_revenue)", "gross_revenue")}
+SELECT window_start, {_r("avg(CAST(conversion_rate AS DECIMAL(30,15)))", "conversion_rate")},
+  {_r("avg(CAST(gross_revenue AS DECIMAL(30,10)))", "gross_revenue")}
 FROM kpis GROUP BY window_start ORDER BY window_start"""
     q["throughput"] = _with(FIXTURE, ARR) + """
 SELECT source_name, time_bucket(INTERVAL 1 MINUTE, kafka_ingest_time) AS window_start,
@@ -484,12 +485,13 @@ SELECT source_name, snapshot_minute, CAST(hw AS BIGINT) AS high_watermark,
 FROM snap"""
     q["ingest_lag"] = _with(FIXTURE, ARR) + f"""
 , l AS (
-  SELECT source_name, event_time, (epoch_us(kafka_ingest_time) - epoch_us(event_time)) / 1e6 AS lag
+  SELECT source_name, event_time, epoch_us(kafka_ingest_time) - epoch_us(event_time) AS lag_us
   FROM arr WHERE event_time IS NOT NULL
 )
 SELECT source_name, time_bucket(INTERVAL 1 MINUTE, event_time) AS window_start,
   time_bucket(INTERVAL 1 MINUTE, event_time) + INTERVAL 1 MINUTE AS window_end, count(*) AS records,
-  {_r("avg(lag)", "avg_lag_seconds")}, {_r("max(lag)", "max_lag_seconds")}, {_r("min(lag)", "min_lag_seconds")}
+  {_r("avg(lag_us) / 1e6", "avg_lag_seconds")}, {_r("max(lag_us) / 1e6", "max_lag_seconds")},
+  {_r("min(lag_us) / 1e6", "min_lag_seconds")}
 FROM l GROUP BY 1, 2, 3"""
     q["late_rows"] = _with(FIXTURE, ARR) + """
 , t AS (
