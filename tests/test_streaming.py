@@ -104,11 +104,17 @@ def test_live_batch_replay_is_idempotent(spark, sf_small):
     silver = batch.silver(batch.bronze(raw_stream_table(spark, sf_small, PROFILE)))
     write = jobs.live_batch_writer(spark, paths)
     write(silver, 0)
-    first = spark.read.parquet(paths.table("realtime_kpis")).collect()
+    first = {t: spark.read.parquet(paths.table(t)).collect() for t in ("realtime_kpis", "campaign_sliding")}
     write(silver, 0)  # the same micro-batch again (crash before the commit)
-    again = spark.read.parquet(paths.table("realtime_kpis")).collect()
-    assert len(first) > 0
-    assert sorted(map(repr, first)) == sorted(map(repr, again))
+    for table, rows in first.items():
+        again = spark.read.parquet(paths.table(table)).collect()
+        assert len(rows) > 0
+        assert sorted(map(repr, rows)) == sorted(map(repr, again)), table
+    # NULL campaign keys (direct traffic) do not multiply on replay.
+    camp = spark.read.parquet(paths.table("campaign_sliding"))
+    keys = ["window_start", "campaign_id", "channel"]
+    assert camp.filter("campaign_id IS NULL").count() > 0
+    assert camp.count() == camp.select(*keys).distinct().count()
     assert spark.read.parquet(paths.table("silver_session_attribution")).count() == silver.count()
 
 
@@ -159,3 +165,19 @@ def test_streaming_drops_exactly_the_audited_late_rows(spark, sf_small):
     assert streamed <= batch_ids
     assert dropped, "late rows were dropped by the stream"
     assert dropped <= late_ids
+
+
+def test_supervise_surfaces_a_failing_query(spark):
+    """One failing query stops the wait with its error."""
+    import pytest
+
+    root = f"{checkpoint_root(spark)}/test-fail-{uuid.uuid4().hex[:8]}"
+    _write(spark, [("k", "{}", BASE, 0, 0)], f"{root}/in")
+    src = spark.readStream.schema(ENVELOPE).parquet(f"{root}/in")
+
+    def boom(df, batch_id):
+        raise ValueError("sink failure")
+
+    bad = src.writeStream.foreachBatch(boom).option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
+    with pytest.raises(RuntimeError, match="failed"):
+        jobs.supervise(spark, [bad])
