@@ -26,19 +26,21 @@ def require_columns(df: DataFrame, columns: list[str], what: str = "query") -> D
 def latest_window_rollup(kpis: DataFrame) -> DataFrame:
     """G1: totals over the rows of the latest window_end.
 
-    The max is a one-row aggregate; joining it back is a broadcast of one row.
+    One pass: totals per window_end (one row per window, partially
+    aggregated), then the top row by window_end (a per-partition top-1 and a
+    1-row merge). The KPI input is computed once -- no self-join or
+    max-then-join, whose two branches would each recompute it.
     """
     require_columns(kpis, ["window_end", "events_total", "orders_total", "gross_revenue", "sessions_total"], "G1")
-    latest = kpis.agg(F.max("window_end").alias("latest_end"))
-    rows = kpis.join(F.broadcast(latest), kpis["window_end"] == latest["latest_end"])
-    agg = rows.groupBy("latest_end").agg(
+    per_window = kpis.groupBy("window_end").agg(
         F.sum("events_total").cast("long").alias("events_total"),
         F.sum("orders_total").cast("long").alias("orders_total"),
         F.sum("gross_revenue").alias("gross_revenue"),
         F.sum("sessions_total").cast("long").alias("sessions_total"),
     )
-    return agg.select(
-        F.col("latest_end").alias("window_end"),
+    latest = per_window.orderBy(F.col("window_end").desc()).limit(1)
+    return latest.select(
+        "window_end",
         "events_total",
         "orders_total",
         "gross_revenue",

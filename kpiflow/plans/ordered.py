@@ -41,24 +41,23 @@ def ordered_scan(
     ranged = Bucketizer(splits=splits, inputCol="_k", outputCol="_rp", handleInvalid="keep").transform(keyed)
     ranged = ranged.withColumn("_rp", F.col("_rp").cast("int")).drop("_k")
     in_range = Window.partitionBy(*group_cols, "_rp").orderBy(*order_cols)
-    whole_range = Window.partitionBy(*group_cols, "_rp")
-    local = ranged.withColumn("_lpos", F.row_number().over(in_range) - 1).withColumn(
-        "_lcnt", F.count(F.lit(1)).over(whole_range)
-    )
+    local = ranged.withColumn("_lpos", F.row_number().over(in_range) - 1)
     if max_col:
         local = local.withColumn(
             "_lmax_before", F.max(max_col).over(in_range.rowsBetween(Window.unboundedPreceding, -1))
-        ).withColumn("_lmax", F.max(max_col).over(whole_range))
-    aggs = [F.max("_lcnt").alias("_c")] + ([F.max("_lmax").alias("_m")] if max_col else [])
-    summary = local.groupBy(*group_cols, "_rp").agg(*aggs)
+        )
+    # Per-(group, range) totals straight from the ranged rows: a partially
+    # aggregated groupBy, independent of the window stage above.
+    aggs = [F.count(F.lit(1)).alias("_c")] + ([F.max(max_col).alias("_m")] if max_col else [])
+    summary = ranged.groupBy(*group_cols, "_rp").agg(*aggs)
     earlier = Window.partitionBy(*group_cols).orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
     carried: list[Column] = [F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_base")]
     if max_col:
         carried.append(F.max("_m").over(earlier).alias("_carry_max"))
     summary = summary.select(*group_cols, "_rp", *carried)
     out = local.join(summary, group_cols + ["_rp"]).withColumn("_pos", F.col("_base") + F.col("_lpos"))
-    drop = ["_rp", "_lpos", "_lcnt", "_base"]
+    drop = ["_rp", "_lpos", "_base"]
     if max_col:
         out = out.withColumn("_max_before", F.greatest(F.col("_carry_max"), F.col("_lmax_before")))
-        drop += ["_lmax_before", "_lmax", "_carry_max"]
+        drop += ["_lmax_before", "_carry_max"]
     return out.drop(*drop)
