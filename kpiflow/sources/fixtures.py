@@ -253,20 +253,30 @@ def envelope_path(spark: SparkSession, sf_dir: str, profile: str = "dense") -> s
     This is the landing table the pipeline reads -- the batch stand-in for
     the Kafka topics. Writing it once cuts the derivation's lineage, so every
     query plans against a plain parquet scan with partition pruning on
-    ``source_name`` and pushed filters. A finished write leaves ``_SUCCESS``;
-    an unfinished one is rewritten.
+    ``source_name`` and pushed filters. A finished table has ``_SUCCESS``;
+    builders write to private folders and rename into place.
     """
     ensure_utc(spark)
     root = checkpoint_root(spark).rstrip("/")
     path = f"{root}/kpiflow-envelope/{_fingerprint(spark, sf_dir, profile)}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    jvm = spark._jvm.org.apache.hadoop.fs
+    done = jvm.Path(f"{path}/_SUCCESS")
+    fs = done.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(done):
+        # Each builder writes its own folder and renames it into place, so two
+        # concurrent builders never overwrite each other; the loser drops its copy.
+        import uuid
+
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
         env = envelope(load_events(spark, sf_dir), profile)
         # No repartition on (source, partition): 36 keys would mean 36 writer
         # tasks. Each task writes its own rows, sorted by arrival time so the
         # row-group statistics prune time-range reads.
-        env.sortWithinPartitions("timestamp").write.mode("overwrite").partitionBy("source_name").parquet(path)
+        env.sortWithinPartitions("timestamp").write.mode("overwrite").partitionBy("source_name").parquet(tmp)
+        if fs.exists(jvm.Path(path)) and not fs.exists(done):
+            fs.delete(jvm.Path(path), True)  # leftover of an interrupted build
+        if not fs.rename(jvm.Path(tmp), jvm.Path(path)):
+            fs.delete(jvm.Path(tmp), True)
     return path
 
 
