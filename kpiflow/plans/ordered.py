@@ -37,7 +37,8 @@ def ordered_scan(
     keyed = df.withColumn("_k", F.unix_micros(F.col(order_cols[0])).cast("double"))
     probs = [i / n for i in range(1, n)]
     cuts = sorted(set(keyed.approxQuantile("_k", probs, 0.001))) if probs else []
-    splits = [float("-inf")] + [c for c in cuts if c == c] + [float("inf")]
+    inner = [c for c in cuts if c == c] or [0.0]  # Bucketizer needs >= 3 splits (empty input)
+    splits = [float("-inf")] + inner + [float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="_k", outputCol="_rp", handleInvalid="keep").transform(keyed)
     ranged = ranged.withColumn("_rp", F.col("_rp").cast("int")).drop("_k")
     in_range = Window.partitionBy(*group_cols, "_rp").orderBy(*order_cols)

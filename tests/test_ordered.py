@@ -26,3 +26,8 @@ def test_ordered_scan_matches_whole_group_windows(spark):
     )
     assert got.count() == len(rows)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_ordered_scan_on_empty_input(spark):
+    df = spark.createDataFrame([], "g string, ts timestamp, seq long, v double")
+    assert ordered_scan(df, ["g"], ["ts", "seq"], max_col="v").count() == 0
