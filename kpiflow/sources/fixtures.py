@@ -139,67 +139,57 @@ def _fault(m: Column) -> Column:
     )
 
 
-def _payload(rows: DataFrame) -> Column:
-    """JSON text of the click or order, with the fault applied."""
-    m = F.col("m")
-    fault = _fault(m)
+def _drop_last_char(text: Column) -> Column:
+    return text.substr(F.lit(1), F.length(text) - 1)
+
+
+def _json_body(fault: Column) -> Column:
+    """JSON text of the click or order, without schema_version."""
     id_value = F.when(fault == "null_id", F.lit(None).cast("string")).otherwise(F.col("id"))
     time_text = F.when(fault == "bad_time", F.lit(BAD_EVENT_TIME)).otherwise(
         F.date_format(F.col("etime"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     )
     click = F.struct(
-        id_value.alias("event_id"),
-        time_text.alias("event_time"),
-        F.col("event_type"),
-        F.col("session_id"),
-        F.col("user_id"),
-        F.col("page_url"),
-        F.col("product_id"),
-        F.col("category"),
-        F.col("campaign_id"),
-        F.col("channel"),
-        F.col("device_type"),
-        F.col("country_code"),
-        F.col("referrer"),
+        id_value.alias("event_id"), time_text.alias("event_time"), "event_type", "session_id", "user_id",
+        "page_url", "product_id", "category", "campaign_id", "channel", "device_type", "country_code", "referrer",
     )
     order = F.struct(
-        id_value.alias("order_id"),
-        time_text.alias("event_time"),
-        F.col("session_id"),
-        F.col("user_id"),
-        F.col("status"),
-        F.col("payment_method"),
-        F.lit("USD").alias("currency"),
-        F.col("order_value"),
-        F.col("items_count"),
-        F.col("fraud_score"),
+        id_value.alias("order_id"), time_text.alias("event_time"), "session_id", "user_id", "status",
+        "payment_method", F.lit("USD").alias("currency"), "order_value", "items_count", "fraud_score",
         F.col("country_code").alias("shipping_country"),
     )
-    body = F.when(F.col("source_name") == "orders", F.to_json(order)).otherwise(F.to_json(click))
+    return F.when(F.col("source_name") == "orders", F.to_json(order)).otherwise(F.to_json(click))
+
+
+def _with_version(body: Column, fault: Column) -> Column:
+    """Splice schema_version into the object text, so that one row can carry
+    a wrong-typed value ("x")."""
     version = F.when(fault == "bad_type", F.lit('"x"')).otherwise(F.lit("1"))
-    # schema_version is spliced in so that one row can carry a wrong-typed value.
-    full = F.concat(F.expr("substring(body_tmp, 1, length(body_tmp) - 1)"), F.lit(',"schema_version":'), version, F.lit("}"))
-    return body, full, fault
+    return F.concat(_drop_last_char(body), F.lit(',"schema_version":'), version, F.lit("}"))
+
+
+def _payload_text(full: Column, fault: Column) -> Column:
+    """Apply the transport faults: a truncated object, or a blank payload."""
+    return (
+        F.when(fault == "truncated", _drop_last_char(full))
+        .when(fault == "blank", F.lit(""))
+        .otherwise(full)
+    )
 
 
 def envelope(events: DataFrame, profile: str = "dense") -> DataFrame:
     """Kafka-style envelope of both topics, with replays, delays and faults."""
-    rows = event_rows(events, profile)
-    body, full, fault = _payload(rows)
     m = F.col("m")
-    with_body = rows.withColumn("body_tmp", body).withColumn("fault", fault)
-    value = (
-        F.when(F.col("fault") == "truncated", F.expr("substring(full_tmp, 1, length(full_tmp) - 1)"))
-        .when(F.col("fault") == "blank", F.lit(""))
-        .otherwise(F.col("full_tmp"))
+    fault = F.col("fault")
+    staged = (
+        event_rows(events, profile)
+        .withColumn("fault", _fault(m))
+        .withColumn("_body", _json_body(fault))
+        .withColumn("_full", _with_version(F.col("_body"), fault))
     )
-    base = with_body.withColumn("full_tmp", full).select(
-        "source_name",
-        "m",
-        "partition",
-        F.col("session_id").alias("key"),
-        value.alias("value"),
-        "etime",
+    base = staged.select(
+        "source_name", "m", "partition", F.col("session_id").alias("key"),
+        _payload_text(F.col("_full"), fault).alias("value"), "etime",
     )
     # m % 50 == 9: the producer re-sends the row 300 s later (identical payload).
     replay = F.explode(F.when(m % 50 == 9, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
