@@ -181,3 +181,26 @@ def test_supervise_surfaces_a_failing_query(spark):
     bad = src.writeStream.foreachBatch(boom).option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start()
     with pytest.raises(RuntimeError, match="failed"):
         jobs.supervise(spark, [bad])
+
+
+def test_job_entry_points_run_end_to_end(spark, sf_small):
+    """start_bronze (envelope streams) then start_silver_gold (live + final)."""
+    import pytest
+
+    from kpiflow.sources.files import envelope_stream
+    from kpiflow.sources.fixtures import envelope_path
+    from kpiflow.streaming import apps
+
+    env = envelope_path(spark, sf_small, PROFILE)
+    paths = replay.workspace(spark, "apps")
+    with pytest.raises(ValueError):
+        apps.start_bronze(spark, paths)
+    jobs.supervise(spark, apps.start_bronze(
+        spark, paths, clicks_raw=envelope_stream(spark, env, "clickstream"),
+        orders_raw=envelope_stream(spark, env, "orders"), trigger=replay.AVAILABLE_NOW))
+    for table in ("bronze_clickstream", "bronze_orders", "quarantine", "quality_clickstream", "quality_orders"):
+        assert spark.read.parquet(paths.table(table)).count() > 0, table
+    jobs.supervise(spark, apps.start_silver_gold(spark, paths, live=True, final=True, trigger=replay.AVAILABLE_NOW))
+    for table in ("silver_session_attribution", "realtime_kpis", "campaign_sliding", "quality_alerts", "drift_metrics",
+                  "realtime_kpis_final"):
+        assert spark.read.parquet(paths.table(table)).count() > 0, table
