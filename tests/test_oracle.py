@@ -33,14 +33,21 @@ def _rows(cols, rows):
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(BATCH_QUERIES))
 def test_query_matches_oracle(spark, duck, sf_small, name):
     df = se.queries()[name](spark, sf_small)
     rows = [tuple(r) for r in df.collect()]
-    rel = duck.execute(se.oracle_sql()[name])
+    sql = se.oracle_sql()[name]
+    rel = duck.execute(sql)
     ocols = [d[0] for d in rel.description]
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
     assert len(rows) == len(orows)
     assert _rows(df.columns, rows) == _rows(ocols, orows)
 
