@@ -40,7 +40,7 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     within the file stands in for the offset; the file path for the key."""
     lines = spark.read.text(path).filter(F.trim(F.col("value")) != "")
     return lines.select(
-        F.input_file_name().alias("key"),
+        F.col("_metadata.file_path").alias("key"),
         F.col("value"),
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("partition"),
