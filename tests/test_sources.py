@@ -34,3 +34,13 @@ def test_require_columns(spark):
     df = spark.createDataFrame([(1,)], "channel int")
     with pytest.raises(ValueError, match="gross_revenue"):
         serving.revenue_by_channel(df)
+
+
+def test_cli_query_writes_parquet(spark, sf_small):
+    from kpiflow.__main__ import main
+
+    out = f"{checkpoint_root(spark)}/cli-{uuid.uuid4().hex[:8]}"
+    assert main(["query", "channel_normalized", "--sf-dir", sf_small, "--out", out], spark=spark) == 0
+    assert spark.read.parquet(out).count() == 6
+    with pytest.raises(SystemExit):
+        main(["query", "no_such_query", "--sf-dir", sf_small, "--out", out], spark=spark)
