@@ -2,6 +2,8 @@
 
 import uuid
 
+from pyspark.sql import functions as F
+
 import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -44,3 +46,22 @@ def test_cli_query_writes_parquet(spark, sf_small):
     assert spark.read.parquet(out).count() == 6
     with pytest.raises(SystemExit):
         main(["query", "no_such_query", "--sf-dir", sf_small, "--out", out], spark=spark)
+
+
+def test_high_watermark_marks_idle_minutes(spark):
+    """O3 on a hand case: partition 0 gets offsets 0-1 at 00:00, partition 1
+    offset 0 at 00:00 and 1 at 00:02; 00:01 is idle."""
+    import datetime as dt
+
+    from kpiflow.operators.ops import ARRIVAL_COLUMNS, high_watermark
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [("orders", t, 0, 0), ("orders", t + dt.timedelta(seconds=5), 0, 1), ("orders", t, 1, 0),
+            ("orders", t + dt.timedelta(minutes=2), 1, 1)]
+    arr = spark.createDataFrame(rows, "source_name string, kafka_ingest_time timestamp, kafka_partition int, kafka_offset long")
+    for c in ARRIVAL_COLUMNS:
+        if c not in arr.columns:
+            arr = arr.withColumn(c, F.lit(None).cast("string"))
+    got = [(r.high_watermark, r.new_offsets, r.is_active)
+           for r in high_watermark(arr).orderBy("snapshot_minute").collect()]
+    assert got == [(3, 3, True), (3, 0, False), (4, 1, True)]
