@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kpiflow.functions.timecols import minute_end, minute_start
 from kpiflow.operators.ingest import ROUTE_VALID
 from kpiflow.operators.kpis import count_if, safe_ratio
 from kpiflow.operators.quality import CRITICAL, NORMAL
@@ -38,7 +39,7 @@ def run_summary(clicks_routed: DataFrame, orders_routed: DataFrame, entity_name:
         count_if(captured).alias("captured_orders"),
         F.sum(F.when(captured, F.col("order_value"))).alias("_revenue"),
         F.count_distinct(F.when(valid_click, F.col("session_id"))).alias("_sessions"),
-        F.max(F.when(valid_click, F.date_trunc("minute", F.col("event_time")))).alias("window_start"),
+        F.max(F.when(valid_click, minute_start(F.col("event_time")))).alias("window_start"),
     )
     return agg.select(
         "clickstream_generated",
@@ -51,7 +52,7 @@ def run_summary(clicks_routed: DataFrame, orders_routed: DataFrame, entity_name:
         F.round(safe_ratio(F.col("captured_orders"), F.col("_sessions")), 4).alias("conversion_rate"),
         F.lit(entity_name).alias("entity_name"),
         "window_start",
-        (F.col("window_start") + F.expr("INTERVAL 1 MINUTE")).alias("window_end"),
+        minute_end(F.col("window_start")).alias("window_end"),
         (F.col("clickstream_valid") + F.col("orders_valid")).alias("records_total"),
         F.col("quarantine_records").alias("invalid_records"),
         F.when(F.col("quarantine_records") > 0, F.lit(CRITICAL)).otherwise(F.lit(NORMAL)).alias("alert_level"),

@@ -86,3 +86,18 @@ def test_contract_violations_labels(spark):
         "schema_version:type", "event_time:format", "order_id:minLength", "status:enum", "currency:maxLength",
         "order_value:minimum", "items_count:minimum", "fraud_score:maximum",
     ]
+
+
+def test_minute_bounds_and_partition_columns(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from kpiflow.functions.timecols import add_partition_columns, minute_end, minute_start
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 23, 59, 59, 999999),)], "t timestamp")
+    r = add_partition_columns(df, "t").select(
+        minute_start(F.col("t")).alias("s"), minute_end(F.col("t")).alias("e"), "event_date", "event_hour", "event_minute"
+    ).first()
+    assert r.s == dt.datetime(2024, 1, 2, 23, 59) and r.e == dt.datetime(2024, 1, 3, 0, 0)
+    assert (str(r.event_date), r.event_hour, r.event_minute) == ("2024-01-02", "23", "59")
