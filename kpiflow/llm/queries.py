@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiflow.llm import mixing, sharding
+from kpiflow.llm import mixing, quality, sharding
 from kpiflow.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op5_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents")).drop("copies")
 
@@ -44,7 +48,11 @@ FROM c
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_kd_sharding": op5_kd_sharding, "op9_pareto_mixing": op9_pareto_mixing}
+    return {
+        "op5_kd_sharding": op5_kd_sharding,
+        "op8_factorisation_quality": op8_factorisation_quality,
+        "op9_pareto_mixing": op9_pareto_mixing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
