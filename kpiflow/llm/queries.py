@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiflow.llm import mixing, quality, sharding
+from kpiflow.llm import minhash, mixing, quality, sharding
 from kpiflow.llm.common import table
 
 
+def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ FROM c
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_hyperminhash": op2_hyperminhash,
         "op5_kd_sharding": op5_kd_sharding,
         "op8_factorisation_quality": op8_factorisation_quality,
         "op9_pareto_mixing": op9_pareto_mixing,
