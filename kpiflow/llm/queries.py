@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiflow.llm import minhash, mixing, quality, sharding
+from kpiflow.llm import decontam, minhash, mixing, quality, sharding
 from kpiflow.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op9_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op10_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 #: op9 recomputed from the contract: water-filled targets, then the prefix of the Pareto order per source.
 OP9_SQL = r"""
 WITH d AS (
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_kd_sharding": op5_kd_sharding,
         "op8_factorisation_quality": op8_factorisation_quality,
         "op9_pareto_mixing": op9_pareto_mixing,
+        "op10_bm25_decontamination": op10_bm25_decontamination,
     }
 
 
