@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiflow.llm import decontam, minhash, mixing, quality, sharding
+from kpiflow.llm import decontam, html, minhash, mixing, quality, sharding
 from kpiflow.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_block_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ FROM c
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_hyperminhash": op2_hyperminhash,
+        "op3_block_rules": op3_block_rules,
         "op5_kd_sharding": op5_kd_sharding,
         "op8_factorisation_quality": op8_factorisation_quality,
         "op9_pareto_mixing": op9_pareto_mixing,
