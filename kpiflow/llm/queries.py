@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiflow.llm import decontam, html, minhash, mixing, quality, sharding
+from kpiflow.llm import decontam, html, minhash, mixing, pii, quality, sharding
 from kpiflow.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op5_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_factorisation_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_hyperminhash": op2_hyperminhash,
         "op3_block_rules": op3_block_rules,
         "op5_kd_sharding": op5_kd_sharding,
+        "op7_boosted_pii": op7_boosted_pii,
         "op8_factorisation_quality": op8_factorisation_quality,
         "op9_pareto_mixing": op9_pareto_mixing,
         "op10_bm25_decontamination": op10_bm25_decontamination,
