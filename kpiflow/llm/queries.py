@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kpiflow.llm import decontam, html, minhash, mixing, pii, quality, sharding
+from kpiflow.llm import ann, decontam, html, minhash, mixing, pii, quality, sharding
 from kpiflow.llm.common import table
 
 
@@ -22,6 +23,10 @@ def op5_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_hyperminhash": op2_hyperminhash,
         "op3_block_rules": op3_block_rules,
         "op5_kd_sharding": op5_kd_sharding,
+        "op6_vantage_point_search": op6_vantage_point_search,
         "op7_boosted_pii": op7_boosted_pii,
         "op8_factorisation_quality": op8_factorisation_quality,
         "op9_pareto_mixing": op9_pareto_mixing,
