@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiflow.llm import ann, decontam, html, minhash, mixing, pii, quality, sharding
+from kpiflow.llm import ann, decontam, html, lines, minhash, mixing, pii, quality, sharding
 from kpiflow.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op3_block_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
@@ -72,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_hyperminhash": op2_hyperminhash,
         "op3_block_rules": op3_block_rules,
+        "op4_fuzzy_lines": op4_fuzzy_lines,
         "op5_kd_sharding": op5_kd_sharding,
         "op6_vantage_point_search": op6_vantage_point_search,
         "op7_boosted_pii": op7_boosted_pii,
