@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiflow.llm import ann, decontam, html, lines, minhash, mixing, pii, quality, sharding
+from kpiflow.llm import ann, decontam, html, lines, minhash, mixing, pii, quality, sharding, tokens
 from kpiflow.llm.common import table
 
 
+def op1_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after redaction and a source note, without counting it twice."""
+    docs = table(spark, sf_dir, "documents")
+    note = F.concat(F.lit("\n["), F.coalesce("source", F.lit("unknown")), F.lit("]"))
+    return tokens.count_edited(tokens.with_redactions(docs, note), F.col("edits")).drop("leaf_tokens")
+
+
 def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -74,6 +81,7 @@ FROM c
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_edited_token_counts": op1_edited_token_counts,
         "op2_hyperminhash": op2_hyperminhash,
         "op3_block_rules": op3_block_rules,
         "op4_fuzzy_lines": op4_fuzzy_lines,
