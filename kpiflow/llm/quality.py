@@ -108,6 +108,13 @@ def score(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return rows.select("_doc.*", F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, **options) -> DataFrame:
+    """The rows of ``docs`` that score at least ``threshold``, with their columns."""
+    scorer = fit(docs, labels, id_col=id_col, text_col=text_col, **options)
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    return scorer(features(docs, text_col, [doc])).filter(F.col("_score") >= threshold).select("_doc.*")
+
+
 def quality_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted; learnt from the other folds only."""
     learnable = labels.filter(~held_out(F.col("doc_id")))
