@@ -86,12 +86,12 @@ def _descend(rows: DataFrame, cuts: list[Cut], names: list[str]) -> DataFrame:
 
 
 def _crossing(sums: DataFrame, by: str) -> DataFrame:
-    """Per node the first ``by`` at which the running ``_n`` exceeds ``_want``, and what runs before it."""
+    """Per node the first ``by`` at which the running ``_n`` exceeds ``_want``: _by, what of ``_want`` is left there, and its ``_n`` as _here."""
     upto = F.sum("_n").over(Window.partitionBy("_node").orderBy(by))
-    e = F.min(F.when(F.col("_upto") > F.col("_want"), F.struct(F.col(by).alias("by"), (F.col("_upto") - F.col("_n")).alias("before"))))
+    e = F.min(F.when(F.col("_upto") > F.col("_want"), F.struct(F.col(by).alias("by"), (F.col("_upto") - F.col("_n")).alias("before"), F.col("_n").alias("n"))))
     return (
         sums.withColumn("_upto", upto).groupBy("_node").agg(e.alias("_e"), F.max("_want").alias("_want"))
-        .select("_node", F.col("_e.by").alias("_by"), (F.col("_want") - F.col("_e.before")).alias("_want"))
+        .select("_node", F.col("_e.by").alias("_by"), (F.col("_want") - F.col("_e.before")).alias("_want"), F.col("_e.n").alias("_here"))
     )
 
 
@@ -118,9 +118,10 @@ def _level_cuts(rows: DataFrame, parts: dict[int, int], names: list[str]) -> lis
     coarse = F.floor(F.col("_u") * BINS).cast("long")
     one = _crossing(tied.groupBy("_node", coarse.alias("_bin")).agg(F.sum("_size").alias("_n"), F.first("_want").alias("_want")), "_bin")
     fine = F.floor(F.col("_u") * (BINS * BINS)).cast("long")
-    in_bin = tied.drop("_want").join(one, "_node").filter(coarse == F.col("_by"))
+    in_bin = tied.drop("_want", "_here").join(one, "_node").filter(coarse == F.col("_by"))
     two = in_bin.groupBy("_node", fine.alias("_bin")).agg(F.sum("_size").alias("_n"), F.first("_want").alias("_want"))
-    two = _crossing(two, "_bin").select("_node", (F.col("_by") / float(BINS * BINS)).alias("_at"))
+    nearest = F.col("_by") + F.when(2 * F.col("_want") >= F.col("_here"), 1).otherwise(0)  # the side of the last bin that is nearer
+    two = _crossing(two, "_bin").select("_node", (nearest / float(BINS * BINS)).alias("_at"))
     found = value.join(two, "_node", "left").select("_node", "_dim", "_value", F.coalesce("_at", F.lit(0.0)).alias("_at"))
     return [Cut(*r) for r in found.collect()]
 
