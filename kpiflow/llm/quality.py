@@ -89,8 +89,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         (F.avg(label_col) >= 0.5).cast("double").alias("_y"))
     # the broadcast side has at most max_train rows
     lab = cut(lab.orderBy(F.xxhash64("_id"), "_id").limit(max_train))
-    train = docs.join(F.broadcast(lab), F.col(id_col) == F.col("_id"))
-    train = cut(features(train, text_col, [F.col("_y")])).repartition(TRAIN_PARTITIONS)
+    train = docs.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t")).join(F.broadcast(lab), F.col("_i") == F.col("_id"))
+    train = cut(features(train, "_t", [F.col("_y")])).repartition(TRAIN_PARTITIONS)
     n, good = train.agg(F.count("_y"), F.coalesce(F.sum("_y"), F.lit(0.0))).first()
     if good in (0, n):
         return lambda rows: rows.withColumn("_score", F.lit((good + 1) / (n + 2)))

@@ -214,14 +214,16 @@ def _vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(data)
 
 
-def with_redactions(docs: DataFrame, note: Column, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``edits``: mail addresses and phone numbers replaced, last one first, then ``note`` put at the end."""
-    found = pii.found_spans(docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))), ("email", "phone"))
+def with_redactions(docs: DataFrame, note: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, text and ``edits``: mail addresses and phone numbers replaced, last one first, then ``note`` put at the end."""
+    rows = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col), note.alias("_note"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    found = pii.found_spans(rows, ("email", "phone"))
     edit = lambda x: F.struct(x["s"].alias("start"), x["e"].alias("end"), F.concat(F.lit("["), x["kind"], F.lit("]")).alias("replacement"))
     # where a phone number runs into a mail address, the later edit is clipped or repeats a place; counts stay exact
     changes = F.reverse(F.array_sort(F.transform(F.concat("_email", "_phone"), edit)))
     end = F.lit(2**31 - 1)
-    return found.withColumn("edits", F.concat(changes, F.array(F.struct(end.alias("start"), end.alias("end"), note.alias("replacement"))))).drop("_text", "_email", "_phone")
+    at_end = F.array(F.struct(end.alias("start"), end.alias("end"), F.col("_note").alias("replacement")))
+    return found.select(id_col, text_col, F.concat(changes, at_end).alias("edits"))
 
 
 EDITS = "array<struct<start:int,end:int,replacement:string>>"
