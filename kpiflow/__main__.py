@@ -54,12 +54,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
     paths = Paths(args.root.rstrip("/"))
     if args.cmd == "bronze":
-        from kpiflow.sources.kafka import resolve_security_protocol, security_options
+        from kpiflow.sources.kafka import KafkaSecurity
         from kpiflow.streaming.apps import start_bronze
 
         password = os.environ.get(args.password_env) if args.password_env else None
-        protocol = resolve_security_protocol(args.protocol, args.user, password)
-        security = security_options(protocol, args.mechanism, args.user, password)
+        security = KafkaSecurity(args.protocol or "", args.mechanism, args.user, password)
         supervise(spark, start_bronze(spark, paths, args.bootstrap, security))
         return 0
     from kpiflow.streaming.apps import start_silver_gold

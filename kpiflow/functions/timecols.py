@@ -21,8 +21,3 @@ def minute_start(ts: Column) -> Column:
 
 def minute_end(ts: Column) -> Column:
     return F.date_trunc("minute", ts) + F.expr("INTERVAL 1 MINUTE")
-
-
-def plain_ts(c: Column) -> Column:
-    """UTC wall-clock timestamp without zone (stable when collected anywhere)."""
-    return c.cast("timestamp_ntz")

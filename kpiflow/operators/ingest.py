@@ -142,24 +142,15 @@ def quality_input(routed_df: DataFrame, entity: Entity) -> DataFrame:
 
 
 def quarantine_records(routed_df: DataFrame, entity: Entity, clock: Column | None = None) -> DataFrame:
-    """Parse failures and rejected rows of one topic, unioned by name.
+    """Parse failures and rejected rows of one topic in one schema (X1), from one scan and parse.
 
     Partition columns come from the event time when there is one, else the
     arrival time (finding D16), so every quarantined row lands in a partition.
     """
-    failed = routed_df.filter(F.col("route") == JSON_PARSE_FAILURE).select(
-        "payload", *KAFKA_COLS, "source_name", F.col("route").alias("error_reason")
-    )
-    rejected = routed_df.filter(F.col("route").isin(REQUIRED_FIELDS_MISSING, TYPE_MISMATCH)).select(
-        *entity.fields,
-        "payload",
-        *KAFKA_COLS,
-        "null_required_columns",
-        "is_record_valid",
-        "source_name",
-        F.col("route").alias("error_reason"),
-    )
-    both = failed.unionByName(rejected, allowMissingColumns=True)
+    rejected = routed_df.filter(F.col("route") != ROUTE_VALID)
+    # a payload that did not parse has no flags
+    flags = [F.when(F.col("route") != JSON_PARSE_FAILURE, F.col(c)).alias(c) for c in ("null_required_columns", "is_record_valid")]
+    both = rejected.select("payload", *KAFKA_COLS, "source_name", F.col("route").alias("error_reason"), *entity.fields, *flags)
     part_ts = F.coalesce(F.col("event_time"), F.col("kafka_ingest_time"))
     return add_partition_columns(_stamp(both, clock), part_ts)
 

@@ -135,7 +135,7 @@ def flag_late_rows(arr: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> Dat
         timed, ["source_name"], ["kafka_ingest_time", "kafka_partition", "kafka_offset"], max_col="event_time"
     ).withColumnRenamed("_max_before", "max_event_time_before").drop("_pos")
     late = F.col("event_time") < F.col("max_event_time_before") - F.expr(
-        f"INTERVAL {settings.watermark_delay_minutes} MINUTES"
+        f"INTERVAL {settings.watermark_delay}"
     )
     return scanned.withColumn("is_late", F.coalesce(late, F.lit(False)))
 

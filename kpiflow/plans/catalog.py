@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, TimestampType
 
@@ -297,35 +297,75 @@ def q_late_rows(spark, sf_dir):
     return ops.late_rows(_arrivals(spark, sf_dir))
 
 
-# --- streaming (rows-only checks: HLL distincts / streaming runs) -------------
+# --- streaming ------------------------------------------------------------------
+
+
+def _within(approx: str, exact: str, rsd: float) -> Column:
+    """Whether an HLL count is within four standard errors (2 at least) of the exact one."""
+    return F.abs(F.col(approx) - F.col(exact)) <= F.greatest(F.lit(2.0), 4 * rsd * F.col(exact))
 
 
 def q_kpis_stream_append(spark, sf_dir):
-    from kpiflow.streaming.replay import replay_gold
+    """The final path's rows; its HLL distincts as flags against the exact counts of the batch path."""
+    from kpiflow.streaming.replay import replay_final
+
+    keys = ["window_start", "channel", "device_type", "country_code"]
+    exact = _kpis(spark, sf_dir).select(*[F.col(k).alias(f"b_{k}") for k in keys], F.col("sessions_total").alias("b_sessions"), F.col("orders_total").alias("b_orders"))
+    stream = replay_final(spark, sf_dir, PROFILE)
+    both = stream.join(exact, F.expr(" AND ".join(f"{k} <=> b_{k}" for k in keys)), "left")
+    rsd = DEFAULT_SETTINGS.approx_rsd
+    return both.select(
+        "window_start", "window_end", *keys[1:], "events_total", "cart_adds", "gross_revenue", "avg_session_intent",
+        _within("sessions_total", "b_sessions", rsd).alias("sessions_close"), _within("orders_total", "b_orders", rsd).alias("orders_close"),
+    )
+
+
+#: Bronze files of one micro-batch of the live replays, so that they run in several.
+LIVE_FILES_PER_TRIGGER = 8
+
+
+def _live(spark, sf_dir, name):
+    from kpiflow.streaming.replay import live_table, replay_live
 
-    return replay_gold(spark, sf_dir, PROFILE, "append")
+    ws = _memo("live", spark, sf_dir, lambda: replay_live(spark, sf_dir, PROFILE, LIVE_FILES_PER_TRIGGER))
+    return live_table(spark, ws, name)
 
 
 def q_kpis_stream_live(spark, sf_dir):
-    from kpiflow.streaming.replay import replay_gold
+    return _live(spark, sf_dir, "realtime_kpis")
 
-    return replay_gold(spark, sf_dir, PROFILE, "live")
+
+def q_campaign_stream_live(spark, sf_dir):
+    return _live(spark, sf_dir, "campaign_sliding")
+
+
+def q_drift_stream_live(spark, sf_dir):
+    return _live(spark, sf_dir, "drift_metrics")
+
+
+def q_alerts_stream_live(spark, sf_dir):
+    return _live(spark, sf_dir, "quality_alerts")
 
 
 def q_approx_sessions(spark, sf_dir):
-    """A5: the streaming flavour of the KPI distincts (HLL) on the batch silver."""
+    """A5: the streaming flavour of the KPI distincts (HLL) on the batch silver, as flags against exact counts."""
     s = _silver(spark, sf_dir)
-    return s.groupBy(F.window("event_time", "1 minute").alias("w"), "channel").agg(
+    rsd = DEFAULT_SETTINGS.approx_rsd
+    counted = s.groupBy(F.window("event_time", "1 minute").alias("w"), "channel").agg(
         F.count(F.lit(1)).alias("events_total"),
-        F.approx_count_distinct("session_id", DEFAULT_SETTINGS.approx_rsd).alias("approx_sessions"),
-        F.approx_count_distinct("order_id", DEFAULT_SETTINGS.approx_rsd).alias("approx_orders"),
-    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "channel",
-             "events_total", "approx_sessions", "approx_orders")
+        F.count_distinct("session_id").alias("sessions"), F.count_distinct("order_id").alias("orders"),
+        F.approx_count_distinct("session_id", rsd).alias("approx_sessions"), F.approx_count_distinct("order_id", rsd).alias("approx_orders"),
+    )
+    return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "channel", "events_total", "sessions", "orders",
+                          _within("approx_sessions", "sessions", rsd).alias("sessions_close"), _within("approx_orders", "orders", rsd).alias("orders_close"))
 
 
 STREAM_QUERIES = {
     "kpis_stream_append": q_kpis_stream_append,
     "kpis_stream_live": q_kpis_stream_live,
+    "campaign_stream_live": q_campaign_stream_live,
+    "drift_stream_live": q_drift_stream_live,
+    "alerts_stream_live": q_alerts_stream_live,
     "approx_sessions": q_approx_sessions,
 }
 

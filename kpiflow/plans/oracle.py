@@ -503,9 +503,18 @@ FROM l GROUP BY 1, 2, 3"""
 SELECT source_name, count(*) AS rows_checked,
   CAST(sum(CASE WHEN event_time < before_max - INTERVAL 20 MINUTE THEN 1 ELSE 0 END) AS BIGINT) AS late_rows
 FROM t GROUP BY source_name"""
-    # The live streaming path computes exact distincts and must equal the
-    # batch KPIs. kpis_stream_append and approx_sessions use HLL
-    # (approx_count_distinct, rsd 0.05), which no SQL engine reproduces
-    # bit-for-bit, so they have no oracle here (tolerance-tested in pytest).
+    # The live streaming path computes exact distincts from bronze and must equal the batch tables.
     q["kpis_stream_live"] = q["realtime_kpis"]
+    q["campaign_stream_live"] = q["campaign_sliding"]
+    q["drift_stream_live"] = q["channel_drift"]
+    q["alerts_stream_live"] = f"SELECT * FROM ({q['quality_alerts']}) WHERE entity_name = 'joined_stream'"
+    # HLL counts differ from engine to engine: the Spark side compares them with its exact counts, which are compared here.
+    q["approx_sessions"] = sv + """
+SELECT time_bucket(INTERVAL 1 MINUTE, event_time) AS window_start, time_bucket(INTERVAL 1 MINUTE, event_time) + INTERVAL 1 MINUTE AS window_end,
+  channel, count(*) AS events_total, count(DISTINCT session_id) AS sessions, count(DISTINCT order_id) AS orders,
+  TRUE AS sessions_close, TRUE AS orders_close
+FROM silver GROUP BY 1, 2, 3"""
+    q["kpis_stream_append"] = sv + f"""
+SELECT window_start, window_end, channel, device_type, country_code, events_total, cart_adds, {_r("gross_revenue", "gross_revenue")},
+  {_r("avg_session_intent", "avg_session_intent")}, TRUE AS sessions_close, TRUE AS orders_close FROM kpis"""
     return q

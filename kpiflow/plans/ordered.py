@@ -36,7 +36,7 @@ def ordered_scan(
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("_k", F.unix_micros(F.col(order_cols[0])).cast("double"))
     probs = [i / n for i in range(1, n)]
-    cuts = sorted(set(keyed.approxQuantile("_k", probs, 0.001))) if probs else []
+    cuts = sorted(set(keyed.approxQuantile("_k", probs, min(0.001, 0.1 / n)))) if probs else []
     inner = [c for c in cuts if c == c] or [0.0]  # Bucketizer needs >= 3 splits (empty input)
     splits = [float("-inf")] + inner + [float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="_k", outputCol="_rp", handleInvalid="keep").transform(keyed)

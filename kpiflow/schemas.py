@@ -81,4 +81,3 @@ class Entity:
 
 CLICKS = Entity("clickstream", CLICKSTREAM, "event_id")
 ORDERS = Entity("orders", ORDER, "order_id")
-ENTITIES = {CLICKS.source_name: CLICKS, ORDERS.source_name: ORDERS}

@@ -19,11 +19,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediates.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system). Only when it is unset -- local tests -- a scratch folder is
-    created and registered.
+    file system). Only when it is unset on a local master -- tests -- a scratch
+    folder is created and registered; on a cluster that would be a folder of
+    one machine, so it is an error there.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="kpiflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -20,7 +20,6 @@ EXPECTED_CHANNEL_MIX: dict[str, float] = {
 @dataclass(frozen=True)
 class Settings:
     watermark_delay: str = "20 minutes"
-    watermark_delay_minutes: int = 20
     join_lookback_minutes: int = 45
     # Width of the time buckets that widen the interval join's equi-keys.
     # Orders are copied into ceil(lookback / width) + 1 buckets; narrower
@@ -40,10 +39,15 @@ class Settings:
     # Gold partition granularity of the live path: each micro-batch recomputes
     # and replaces only the slots its rows touch.
     gold_slot_minutes: int = 10
+    # Files that one trigger writes to one partition of a bronze table, at most.
+    sink_salt: int = 4
     # State store of the stateful streams (C6). RocksDB keeps join/dedupe
     # state off the JVM heap and checkpoints incrementally.
     state_store_provider: str = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     max_offsets_per_trigger: int = 60000
+    # False skips offsets that have expired on the broker without failing: their records are lost to the pipeline.
+    # The value is the reference's; set True where a gap must stop the job.
+    fail_on_data_loss: bool = False
     starting_offsets: str = "latest"
     # Relative error of HLL distinct counts on streams (Spark and the reference
     # default). Sketch state grows as 1 / rsd^2: 0.01 would be ~32x larger.
@@ -52,5 +56,16 @@ class Settings:
         default_factory=lambda: dict(EXPECTED_CHANNEL_MIX)
     )
 
+    @property
+    def longest_window_minutes(self) -> int:
+        """The longest gold window; a row touches windows that start at most this long before it."""
+        return max(minutes(w) for w in (self.kpi_window, self.campaign_window, self.quality_window, self.drift_window))
+
+
+def minutes(interval: str) -> int:
+    """``"20 minutes"`` -> 20; whole minutes, hours or days."""
+    n, unit = interval.split()
+    return int(n) * {"minute": 1, "hour": 60, "day": 1440}[unit.rstrip("s")]
+
 
 DEFAULT_SETTINGS = Settings()

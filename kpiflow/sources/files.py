@@ -3,6 +3,7 @@ C2 object-store settings."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -52,8 +53,8 @@ def table_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str
     """A missing table reads as an empty frame with the expected schema."""
     try:
         return spark.read.format(fmt).schema(schema).load(path)
-    except Exception as exc:  # AnalysisException PATH_NOT_FOUND
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
 

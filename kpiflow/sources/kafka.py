@@ -1,12 +1,13 @@
 """S1 Kafka stream source and C1 security options.
 
 The Kafka connector jar is not part of a plain PySpark install; the reader is
-fully configured here and only ``load()`` needs the connector. The option
-builders are pure functions.
+fully configured here and only ``load()`` needs the connector.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 
 from kpiflow.settings import DEFAULT_SETTINGS, Settings
@@ -18,67 +19,63 @@ LOGIN_MODULES = {
     "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
 }
 
-CREDENTIALS_MISSING = "Kafka SASL authentication needs both a username and a password."
-
-
-def resolve_security_protocol(protocol: str | None, username: str | None, password: str | None) -> str:
-    """Explicit protocol (upper-cased) wins; any credential implies SASL_PLAINTEXT."""
-    if protocol:
-        return protocol.upper()
-    if username or password:
-        return "SASL_PLAINTEXT"
-    return "PLAINTEXT"
-
-
-def jaas_config(mechanism: str, username: str | None, password: str | None) -> str:
-    if not username or not password:
-        raise ValueError(CREDENTIALS_MISSING)
-    module = LOGIN_MODULES.get(mechanism.upper())
-    if module is None:
-        raise ValueError(f"Unsupported Kafka SASL mechanism: {mechanism}")
-    return f'{module} required username="{username}" password="{password}";'
 
+@dataclass(frozen=True)
+class KafkaSecurity:
+    """How to talk to the brokers; inconsistent settings cannot be constructed.
 
-def security_options(
-    protocol: str,
-    mechanism: str = "SCRAM-SHA-512",
-    username: str | None = None,
-    password: str | None = None,
-    prefix: str = "kafka.",
-) -> dict[str, str]:
-    """Spark Kafka source options for the given security settings.
-
-    PLAINTEXT adds nothing; other non-SASL protocols only set the protocol;
-    SASL protocols set protocol, mechanism and a JAAS line (username and
-    password are never passed as separate options).
+    Without a protocol, a user or password asks for SASL over plain text and
+    neither asks for no security at all. SASL wants both user and password and
+    a known mechanism; other protocols ignore them.
     """
-    proto = protocol.upper()
-    if not proto.startswith("SASL"):
-        return {} if proto == "PLAINTEXT" else {f"{prefix}security.protocol": proto}
-    if not username or not password:
-        raise ValueError(CREDENTIALS_MISSING)
-    return {
-        f"{prefix}security.protocol": proto,
-        f"{prefix}sasl.mechanism": mechanism,
-        f"{prefix}sasl.jaas.config": jaas_config(mechanism, username, password),
-    }
+
+    protocol: str = ""
+    mechanism: str = "SCRAM-SHA-512"
+    username: str | None = None
+    password: str | None = field(default=None, repr=False)
+
+    def __post_init__(self) -> None:
+        implied = "SASL_PLAINTEXT" if self.username or self.password else "PLAINTEXT"
+        object.__setattr__(self, "protocol", (self.protocol or implied).upper())
+        object.__setattr__(self, "mechanism", self.mechanism.upper())
+        if self.sasl:
+            absent = [n for n in ("username", "password") if not getattr(self, n)]
+            if absent:
+                raise ValueError(f"{self.protocol} without {' and '.join(absent)}")
+            if self.mechanism not in LOGIN_MODULES:
+                raise ValueError(f"no login module for SASL mechanism {self.mechanism}")
+
+    @property
+    def sasl(self) -> bool:
+        return self.protocol.startswith("SASL")
+
+    def options(self, prefix: str = "kafka.") -> dict[str, str]:
+        """Options of the Spark source. The credentials travel in the login line only."""
+        found: dict[str, str] = {}
+        if self.protocol != "PLAINTEXT":
+            found["security.protocol"] = self.protocol
+        if self.sasl:
+            login = {"username": self.username, "password": self.password}
+            quoted = " ".join(f'{k}="{v}"' for k, v in login.items())
+            found["sasl.mechanism"] = self.mechanism
+            found["sasl.jaas.config"] = f"{LOGIN_MODULES[self.mechanism]} required {quoted};"
+        return {prefix + k: v for k, v in found.items()}
 
 
 def kafka_reader_options(
     bootstrap_servers: str,
     topic: str,
     settings: Settings = DEFAULT_SETTINGS,
-    security: dict[str, str] | None = None,
+    security: KafkaSecurity = KafkaSecurity(),
 ) -> dict[str, str]:
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": settings.starting_offsets,
         "maxOffsetsPerTrigger": str(settings.max_offsets_per_trigger),
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(settings.fail_on_data_loss).lower(),
     }
-    opts.update(security or {})
-    return opts
+    return opts | security.options()
 
 
 def read_kafka_stream(
@@ -86,7 +83,7 @@ def read_kafka_stream(
     bootstrap_servers: str,
     topic: str,
     settings: Settings = DEFAULT_SETTINGS,
-    security: dict[str, str] | None = None,
+    security: KafkaSecurity = KafkaSecurity(),
 ) -> DataFrame:
     """Streaming Kafka records (key, value, topic, partition, offset, timestamp, ...)."""
     return spark.readStream.format("kafka").options(**kafka_reader_options(bootstrap_servers, topic, settings, security)).load()

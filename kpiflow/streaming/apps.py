@@ -17,7 +17,7 @@ from kpiflow.schemas import CLICKS, ORDERS
 from kpiflow.session import ensure_utc
 from kpiflow.settings import DEFAULT_SETTINGS, Settings
 from kpiflow.sources.files import read_table_stream
-from kpiflow.sources.kafka import read_kafka_stream
+from kpiflow.sources.kafka import KafkaSecurity, read_kafka_stream
 from kpiflow.streaming.jobs import (
     Paths,
     bronze_queries,
@@ -38,7 +38,7 @@ def start_bronze(
     spark: SparkSession,
     paths: Paths,
     bootstrap_servers: str | None = None,
-    security: dict[str, str] | None = None,
+    security: KafkaSecurity = KafkaSecurity(),
     clicks_raw: DataFrame | None = None,
     orders_raw: DataFrame | None = None,
     trigger: dict | None = None,
@@ -65,9 +65,13 @@ def start_silver_gold(
     trigger: dict | None = None,
     settings: Settings = DEFAULT_SETTINGS,
 ) -> list[StreamingQuery]:
-    """Silver/gold job over the bronze tables (``bronze_paths``, default
-    ``paths``): the live gold path and/or the final append KPI stream.
-    Each stream holds its own join state, so start only the paths you serve."""
+    """Silver/gold job over the bronze tables (``bronze_paths``, default ``paths``).
+
+    ``live`` starts the path that keeps silver, KPI, campaign, alert and drift
+    tables exact and corrected for late rows; ``final`` adds an append-only
+    stream of KPIs (HLL distincts) whose rows never change once written, and
+    which late rows do not reach.
+    """
     from kpiflow.streaming.replay import bronze_schema
 
     ensure_utc(spark)
@@ -75,16 +79,17 @@ def start_silver_gold(
     src = bronze_paths or paths
     queries: list[StreamingQuery] = []
 
-    def silver() -> DataFrame:
-        clicks = read_table_stream(spark, src.table("bronze_clickstream"), bronze_schema(spark, CLICKS))
-        orders = read_table_stream(spark, src.table("bronze_orders"), bronze_schema(spark, ORDERS))
-        return silver_stream(clicks, orders, settings)
+    def bronze() -> tuple[DataFrame, DataFrame]:
+        return (
+            read_table_stream(spark, src.table("bronze_clickstream"), bronze_schema(spark, CLICKS)),
+            read_table_stream(spark, src.table("bronze_orders"), bronze_schema(spark, ORDERS)),
+        )
 
     if live:
-        queries.append(live_query(silver(), spark, paths, trigger, settings))
+        queries.append(live_query(*bronze(), spark, paths, trigger, src, settings))
     if final:
         queries.append(
-            append_sink(final_kpis_stream(silver(), settings), paths.table("realtime_kpis_final"),
+            append_sink(final_kpis_stream(silver_stream(*bronze(), settings), settings), paths.table("realtime_kpis_final"),
                         paths.checkpoint("realtime_kpis_final"), None, trigger, settings=settings)
         )
     return queries

@@ -2,45 +2,44 @@
 
 import pytest
 
-from kpiflow.sources.kafka import jaas_config, kafka_reader_options, resolve_security_protocol, security_options
+from kpiflow.settings import Settings
 from kpiflow.sources.files import object_store_conf
+from kpiflow.sources.kafka import KafkaSecurity, kafka_reader_options
 
 
-def test_protocol_resolution():
-    assert resolve_security_protocol(None, None, None) == "PLAINTEXT"
-    assert resolve_security_protocol(None, "user", None) == "SASL_PLAINTEXT"
-    assert resolve_security_protocol(None, None, "pw") == "SASL_PLAINTEXT"
-    assert resolve_security_protocol("sasl_ssl", None, None) == "SASL_SSL"
+def test_protocol_follows_from_the_credentials():
+    assert KafkaSecurity().protocol == "PLAINTEXT"
+    assert KafkaSecurity(username="user", password="pw").protocol == "SASL_PLAINTEXT"
+    assert KafkaSecurity("sasl_ssl", username="user", password="pw").protocol == "SASL_SSL"
 
 
 def test_plaintext_and_ssl_options():
-    assert security_options("PLAINTEXT") == {}
-    assert security_options("ssl") == {"kafka.security.protocol": "SSL"}
+    assert KafkaSecurity("PLAINTEXT").options() == {}
+    assert KafkaSecurity("ssl").options() == {"kafka.security.protocol": "SSL"}
 
 
-def test_sasl_requires_both_credentials():
+@pytest.mark.parametrize(
+    "given", [dict(username="user"), dict(password="pw"), dict(protocol="SASL_SSL"), dict(username="a", password="b", mechanism="GSSAPI")]
+)
+def test_inconsistent_settings_are_refused(given):
     with pytest.raises(ValueError):
-        security_options("SASL_PLAINTEXT", "SCRAM-SHA-512", "user", None)
-    with pytest.raises(ValueError):
-        jaas_config("PLAIN", None, "pw")
+        KafkaSecurity(**given)
 
 
-def test_jaas_rendering_and_no_plain_credentials():
-    opts = security_options("SASL_SSL", "SCRAM-SHA-256", "alice", "s3cret")
+def test_login_line_and_no_plain_credentials():
+    secure = KafkaSecurity("SASL_SSL", "SCRAM-SHA-256", "alice", "s3cret")
+    opts = secure.options()
     jaas = opts["kafka.sasl.jaas.config"]
     assert "ScramLoginModule" in jaas and 'username="alice"' in jaas and 'password="s3cret"' in jaas
     assert not any(k.endswith("sasl.username") or k.endswith("sasl.password") for k in opts)
-    assert "PlainLoginModule" in jaas_config("plain", "a", "b")
-
-
-def test_unknown_mechanism():
-    with pytest.raises(ValueError):
-        jaas_config("GSSAPI", "a", "b")
+    assert "PlainLoginModule" in KafkaSecurity(mechanism="plain", username="a", password="b").options()["kafka.sasl.jaas.config"]
+    assert "s3cret" not in repr(secure)
 
 
 def test_reader_options():
-    opts = kafka_reader_options("broker:9092", "clicks", security={"kafka.security.protocol": "SSL"})
+    opts = kafka_reader_options("broker:9092", "clicks", security=KafkaSecurity("SSL"))
     assert opts["maxOffsetsPerTrigger"] == "60000" and opts["failOnDataLoss"] == "false"
+    assert kafka_reader_options("b", "t", Settings(fail_on_data_loss=True))["failOnDataLoss"] == "true"
     assert opts["startingOffsets"] == "latest" and opts["kafka.security.protocol"] == "SSL"
 
 

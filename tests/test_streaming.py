@@ -80,14 +80,10 @@ def _kpi_cols(df, distincts=True):
     return df.select(*cols)
 
 
-def test_stream_equals_batch_both_paths(spark, sf_small):
-    """Live path: every column equal (exact distincts). Final append path:
-    every non-distinct column equal; HLL distincts within tolerance."""
+def test_final_path_equals_batch(spark, sf_small):
+    """Every non-distinct column equal; HLL distincts within tolerance."""
     batch_kpis = kpis.realtime_kpis(batch.silver(batch.bronze(raw_stream_table(spark, sf_small, PROFILE))))
-    live = replay.replay_gold(spark, sf_small, PROFILE, "live")
-    assert _kpi_cols(live).exceptAll(_kpi_cols(batch_kpis)).count() == 0
-    assert _kpi_cols(batch_kpis).exceptAll(_kpi_cols(live)).count() == 0
-    final = replay.replay_gold(spark, sf_small, PROFILE, "append")
+    final = replay.replay_final(spark, sf_small, PROFILE)
     assert _kpi_cols(final, False).exceptAll(_kpi_cols(batch_kpis, False)).count() == 0
     assert _kpi_cols(batch_kpis, False).exceptAll(_kpi_cols(final, False)).count() == 0
     keys = ["window_start", "channel", "device_type", "country_code"]
@@ -99,23 +95,52 @@ def test_stream_equals_batch_both_paths(spark, sf_small):
     assert off.count() == 0
 
 
-def test_live_batch_replay_is_idempotent(spark, sf_small):
-    paths = replay.workspace(spark, "idem")
-    silver = batch.silver(batch.bronze(raw_stream_table(spark, sf_small, PROFILE)))
-    write = jobs.live_batch_writer(spark, paths)
-    write(silver, 0)
-    first = {t: spark.read.parquet(paths.table(t)).collect() for t in ("realtime_kpis", "campaign_sliding")}
-    write(silver, 0)  # the same micro-batch again (crash before the commit)
-    for table, rows in first.items():
-        again = spark.read.parquet(paths.table(table)).collect()
-        assert len(rows) > 0
-        assert sorted(map(repr, rows)) == sorted(map(repr, again)), table
+def test_live_path_spans_a_month(spark, sf_small):
+    """The 30-day profile in several micro-batches: every KPI equals batch, and the same micro-batch again changes nothing."""
+    from kpiflow.sources.fixtures import envelope_path
+
+    batch_kpis = kpis.realtime_kpis(batch.silver(batch.bronze(raw_stream_table(spark, sf_small, "sparse"))))
+    assert envelope_path(spark, sf_small, "sparse")
+    ws = replay.replay_live(spark, sf_small, "sparse", 400)
+    live = replay.live_table(spark, ws, "realtime_kpis")
+    assert _kpi_cols(live).exceptAll(_kpi_cols(batch_kpis)).count() == 0
+    assert _kpi_cols(batch_kpis).exceptAll(_kpi_cols(live)).count() == 0
+
+    tables = ("realtime_kpis", "campaign_sliding", "silver_session_attribution")
+    first = {t: sorted(map(repr, spark.read.parquet(ws.table(t)).collect())) for t in tables}
+    some = spark.read.parquet(ws.table("bronze_clickstream")).select("event_time", "source_name").orderBy("event_time").limit(50)
+    jobs.live_batch_writer(spark, ws)(some, 0)  # a micro-batch that runs again after a crash
+    for t, rows in first.items():
+        assert rows == sorted(map(repr, spark.read.parquet(ws.table(t)).collect())), t
     # NULL campaign keys (direct traffic) do not multiply on replay.
-    camp = spark.read.parquet(paths.table("campaign_sliding"))
+    camp = spark.read.parquet(ws.table("campaign_sliding"))
     keys = ["window_start", "campaign_id", "channel"]
     assert camp.filter("campaign_id IS NULL").count() > 0
     assert camp.count() == camp.select(*keys).distinct().count()
-    assert spark.read.parquet(paths.table("silver_session_attribution")).count() == silver.count()
+
+
+def test_late_rows_reach_live_gold(spark):
+    """Five micro-batches in order of arrival; a click 110 minutes late and an order for an old click get into gold."""
+    root = f"{checkpoint_root(spark)}/test-live-late-{uuid.uuid4().hex[:8]}"
+    paths = jobs.Paths(root)
+    clicks = [[_click("evt_000000001", 0)], [_click("evt_000000002", 60)], [_click("evt_000000003", 120)],
+              [_click("evt_000000004", 10)], [_click("evt_000000005", 121)]]
+    orders = [[_order("ord_000000001", 5)], [], [], [], [_order("ord_000000002", 30)]]
+    for i, (c, o) in enumerate(zip(clicks, orders)):
+        for name, rows in (("clicks", c), ("orders", o)):
+            if rows:
+                _write(spark, [("k", v, BASE + dt.timedelta(minutes=130 + i), 0, i) for v, _ in rows], f"{root}/in_{name}/part={i}")
+
+    def raw(name):
+        return spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", "1").option("recursiveFileLookup", "true").parquet(f"{root}/in_{name}")
+
+    jobs.supervise(spark, jobs.bronze_queries(raw("clicks"), raw("orders"), paths, replay.AVAILABLE_NOW, sinks=("valid",)))
+    streams = replay._bronze_streams(spark, paths, 1)
+    jobs.supervise(spark, [jobs.live_query(*streams, spark, paths, replay.AVAILABLE_NOW)])
+    gold = replay.live_table(spark, paths, "realtime_kpis")
+    got = {(r.window_start - BASE).seconds // 60: (r.events_total, r.orders_total) for r in gold.collect()}
+    # the order at 00:05 belongs to the click at 00:00, the one at 00:30 to the clicks at 00:00 and 00:10
+    assert got == {0: (2, 2), 10: (1, 1), 60: (1, 0), 120: (1, 0), 121: (1, 0)}
 
 
 def test_streaming_drops_exactly_the_audited_late_rows(spark, sf_small):
