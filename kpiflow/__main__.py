@@ -20,6 +20,9 @@ from pyspark.sql import SparkSession
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="kpiflow")
+    p.add_argument("--store-endpoint", help="object store for s3a paths; needs both variables below")
+    p.add_argument("--store-key-env", help="name of the environment variable holding the access key")
+    p.add_argument("--store-secret-env", help="name of the environment variable holding the secret key")
     sub = p.add_subparsers(dest="cmd", required=True)
     q = sub.add_parser("query", help="run a registered query and write its result as parquet")
     q.add_argument("name")
@@ -39,9 +42,19 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _session(args: argparse.Namespace) -> SparkSession:
+    builder = SparkSession.builder.appName(f"kpiflow-{args.cmd}")
+    if args.store_endpoint:
+        from kpiflow.sources.files import object_store_conf
+
+        key, secret = (os.environ.get(v or "", "") for v in (args.store_key_env, args.store_secret_env))
+        builder = builder.config(map=object_store_conf(args.store_endpoint, key, secret, args.store_endpoint.startswith("https")))
+    return builder.getOrCreate()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"kpiflow-{args.cmd}").getOrCreate()
+    spark = spark or _session(args)
     if args.cmd == "query":
         from kpiflow.plans.catalog import queries
 

@@ -8,8 +8,6 @@ and violations are gathered with ``array_compact(array(when(...)))``.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,10 +19,6 @@ REQUIRED = {
             "event_id", "event_time", "event_type", "session_id", "user_id",
             "page_url", "channel", "device_type", "country_code", "schema_version",
         ],
-        "contract": [
-            "event_id", "event_time", "event_type", "session_id", "user_id",
-            "page_url", "channel", "device_type", "country_code", "schema_version",
-        ],
     },
     "orders": {
         "bronze": ["order_id", "event_time", "session_id", "user_id"],
@@ -39,6 +33,8 @@ REQUIRED = {
     },
 }
 
+REQUIRED["clickstream"]["contract"] = REQUIRED["clickstream"]["strict"]
+
 # Fixed values that must equal the reference's JSON contracts (enums and bounds).
 CLICK_EVENT_TYPES = ["page_view", "product_view", "add_to_cart", "checkout_started", "search", "ad_click"]
 CHANNELS = ["organic", "paid_search", "social", "email", "affiliate", "direct"]
@@ -107,23 +103,6 @@ def is_missing(c: Column, blank_is_null: bool) -> Column:
     return (c.isNull() | (c.cast("string") == "")) if blank_is_null else c.isNull()
 
 
-def null_required_count(required: list[str], blank_is_null: bool = False) -> Column:
-    """V1: number of required columns that are null (or blank)."""
-    return reduce(lambda a, b: a + b, [is_missing(F.col(c), blank_is_null).cast("int") for c in required])
-
-
-def is_record_valid(id_col: str, required: list[str], blank_is_null: bool = False) -> Column:
-    """V2: id present and no required column missing."""
-    return F.col(id_col).isNotNull() & (null_required_count(required, blank_is_null) == 0)
-
-
-def missing_fields(required: list[str], blank_is_null: bool = True) -> Column:
-    """V5: names of the required fields that are null or empty strings."""
-    return F.array_compact(
-        F.array(*[F.when(is_missing(F.col(c), blank_is_null), F.lit(c)) for c in required])
-    )
-
-
 def contract_violations(source_name: str) -> Column:
     """V4: ``field:rule`` labels of broken draft-07 rules, on a parsed frame
     whose ``event_time`` is still the raw string.

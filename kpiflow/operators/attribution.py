@@ -58,9 +58,10 @@ def interval_join(clicks: DataFrame, orders: DataFrame, how: str = "left", setti
     """Clicks x orders, same (session, user), order time in [click, click + horizon].
 
     Many-to-many; ``how='left'`` keeps unmatched clicks with null order fields.
+    A blank session or user id matches nothing.
     """
     h = settings.join_lookback_minutes
-    o = _order_side(orders)
+    o = _order_side(_with_ids(orders))
     if clicks.isStreaming or orders.isStreaming:
         cond = (
             (F.col("c.session_id") == F.col("o.o_session_id"))
@@ -70,17 +71,19 @@ def interval_join(clicks: DataFrame, orders: DataFrame, how: str = "left", setti
         return clicks.alias("c").join(o.alias("o"), cond, "leftOuter" if how == "left" else how)
     width = settings.join_bucket_minutes
     back = -(-h // width)  # ceil(h / width)
-    c = clicks.withColumn("_jb", _bucket("event_time", width))
+    # a blank session or user matches nothing, and must not gather all such clicks under one key either
+    blank = (F.col("session_id") == "") | (F.col("user_id") == "")
+    c = clicks.withColumn("_jb", _bucket("event_time", width)).withColumn("_js", F.when(blank, F.concat(F.lit("?"), "event_id")).otherwise(F.col("session_id")))
     o = o.withColumn("_ob", _bucket("o_time", width)).withColumn(
         "_jb", F.explode(F.sequence(F.col("_ob") - back, F.col("_ob")))
     )
     cond = (
-        (F.col("c.session_id") == F.col("o.o_session_id"))
+        (F.col("c._js") == F.col("o.o_session_id"))
         & (F.col("c.user_id") == F.col("o.o_user_id"))
         & (F.col("c._jb") == F.col("o._jb"))
         & _range_cond(h)
     )
-    return c.alias("c").join(o.alias("o"), cond, "left" if how == "left" else how).drop("_jb", "_ob")
+    return c.alias("c").join(o.alias("o"), cond, "left" if how == "left" else how).drop("_jb", "_ob", "_js")
 
 
 def attribution_projection(joined: DataFrame) -> DataFrame:
@@ -98,10 +101,32 @@ def session_attribution(clean_clicks: DataFrame, clean_orders: DataFrame, settin
 def last_touch(clean_clicks: DataFrame, clean_orders: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
     """Each order credited to its latest preceding click of the same
     session within the horizon (ties: larger event_id). Revenue sums to the
-    matched orders' revenue exactly once."""
-    pairs = attribution_projection(interval_join(clean_clicks, clean_orders, "inner", settings))
-    w = Window.partitionBy("order_id").orderBy(F.col("event_time").desc(), F.col("event_id").desc())
-    return pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    matched orders' revenue exactly once.
+
+    No pairs are made: clicks and orders are put in one line by time, and an
+    order takes the last click before it. Time buckets as wide as the horizon
+    split a hot session; a click stands in its own bucket and the next.
+    """
+    h = settings.join_lookback_minutes
+    horizon = F.expr(f"INTERVAL {h} MINUTES")
+    clicks, orders = _with_ids(clean_clicks), _order_side(_with_ids(clean_orders))
+    c_row, o_row = F.struct(*clicks.columns), F.struct(*orders.columns)
+    first = F.floor(F.unix_seconds("event_time") / (h * 60)).cast("long")
+    line = clicks.select(
+        F.col("session_id").alias("s"), F.col("user_id").alias("u"), F.explode(F.array(first, first + 1)).alias("b"),
+        F.col("event_time").alias("t"), F.lit(0).alias("kind"), F.col("event_id").alias("id"), c_row.alias("c"), F.lit(None).cast(orders.select(o_row.alias("o")).schema[0].dataType).alias("o"),
+    ).unionByName(orders.select(
+        F.col("o_session_id").alias("s"), F.col("o_user_id").alias("u"), _bucket("o_time", h).alias("b"),
+        F.col("o_time").alias("t"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("id"), F.lit(None).cast(clicks.select(c_row.alias("c")).schema[0].dataType).alias("c"), o_row.alias("o"),
+    ))
+    so_far = Window.partitionBy("s", "u", "b").orderBy("t", "kind", "id").rowsBetween(Window.unboundedPreceding, 0)
+    touched = line.withColumn("c", F.last("c", ignorenulls=True).over(so_far)).filter("kind = 1 AND c IS NOT NULL")
+    return attribution_projection(touched.filter(F.col("o.o_time") <= F.col("c.event_time") + horizon))
+
+
+def _with_ids(df: DataFrame) -> DataFrame:
+    """Rows whose session and user are known: a blank one says nothing about who it was."""
+    return df.filter((F.col("session_id") != "") & (F.col("user_id") != ""))
 
 
 def session_order_totals(clicks: DataFrame, orders: DataFrame) -> DataFrame:

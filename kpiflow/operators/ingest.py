@@ -13,12 +13,16 @@ well-formed object carrying a wrong-typed value.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField
 
 from kpiflow.functions import rules
 from kpiflow.functions.timecols import add_partition_columns
 from kpiflow.schemas import Entity
+from kpiflow.session import ensure_utc
 
 ROUTE_VALID = "valid"
 JSON_PARSE_FAILURE = "json_parse_failure"
@@ -43,13 +47,24 @@ def _ddl(entity: Entity) -> str:
     return "struct<" + ",".join(f"`{f.name}` {f.dataType.simpleString()}" for f in entity.schema.fields) + ">"
 
 
+def _fits(field: StructField, value: Column) -> Column:
+    """Whether a JSON value (a Variant) has the JSON type of the field."""
+    kind = F.schema_of_variant(value)
+    if isinstance(field.dataType, StringType):
+        return kind == "STRING"
+    if isinstance(field.dataType, IntegerType):
+        return (kind == "BIGINT") & F.try_variant_get(value, "$", "int").isNotNull()
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+
+
 def parse_payload(env: DataFrame, entity: Entity, field_list: bool = False) -> DataFrame:
     """Typed payload fields next to the payload and kafka_* lineage.
 
-    Adds ``parse_failed`` (null/blank/malformed/non-object) and
-    ``type_mismatch`` (a present, non-null value that does not fit its
-    declared type; such a field reads as NULL). ``field_list=True`` also adds
-    ``mismatched_fields`` (names, for contract reports).
+    Adds ``parse_failed`` (null, blank, malformed or no JSON object),
+    ``mismatch_bits`` (bit i: field i of the schema is present with a value of
+    another JSON type; the field then reads as NULL) and ``type_mismatch`` (any
+    bit). Of a key that comes twice in an object the last value counts.
+    ``field_list=True`` also adds ``mismatched_fields`` (names, for contract reports).
     ``event_time`` stays the raw string here; see :func:`cast_event_time`.
 
     All parse outputs are produced by one single-row ``inline`` generator over
@@ -57,59 +72,80 @@ def parse_payload(env: DataFrame, entity: Entity, field_list: bool = False) -> D
     a Generate, so the optimizer cannot copy the parse into every predicate:
     each payload is parsed exactly once.
     """
+    ensure_utc(env.sparkSession)
     with_variant = env.withColumn("_v", F.expr("try_parse_json(payload)"))
-    parse_failed = F.col("_v").isNull() | ~F.ltrim(F.col("payload")).startswith("{")
-    wrong = {}
-    for f in entity.schema.fields:
-        if f.name not in entity.non_string_fields:
-            continue
-        raw = F.expr(f"variant_get(_v, '$.{f.name}')")
-        typed = F.expr(f"try_variant_get(_v, '$.{f.name}', '{f.dataType.simpleString()}')")
-        wrong[f.name] = raw.isNotNull() & ~F.expr(f"is_variant_null(variant_get(_v, '$.{f.name}'))") & typed.isNull()
-    any_wrong = F.lit(False)
-    for w in wrong.values():
-        any_wrong = any_wrong | w
+    parse_failed = ~F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
+    bits = F.lit(0).cast("long")
+    for i, f in enumerate(entity.schema.fields):
+        value = F.variant_get("_v", f"$.{f.name}", "variant")
+        given = value.isNotNull() & ~F.is_variant_null(value)
+        bits = bits.bitwiseOR(F.when(given & ~_fits(f, value), F.lit(1 << i)).otherwise(F.lit(0)).cast("long"))
     outputs = [
         parse_failed.alias("parse_failed"),
         F.expr(f"try_variant_get(_v, '$', '{_ddl(entity)}')").alias("_j"),
-        (~parse_failed & F.coalesce(any_wrong, F.lit(False))).alias("type_mismatch"),
+        F.when(parse_failed, F.lit(0).cast("long")).otherwise(bits).alias("mismatch_bits"),
     ]
-    if field_list:
-        names = F.array_compact(F.array(*[F.when(w, F.lit(n)) for n, w in wrong.items()]))
-        outputs.append(
-            F.when(parse_failed, F.array().cast("array<string>")).otherwise(names).alias("mismatched_fields")
-        )
     parsed = with_variant.select("payload", *KAFKA_COLS, F.inline(F.array(F.struct(*outputs))))
-    extra = ["mismatched_fields"] if field_list else []
+    fields = [F.when(~mismatched(entity, n), F.col(f"_j.{n}")).alias(n) for n in entity.fields]
+    names = F.array_compact(F.array(*[F.when(mismatched(entity, n), F.lit(n)) for n in entity.fields]))
     return parsed.select(
-        *[F.col(f"_j.{name}").alias(name) for name in entity.fields],
-        "payload",
-        *KAFKA_COLS,
-        "parse_failed",
-        "type_mismatch",
-        *extra,
+        *fields, "payload", *KAFKA_COLS, "parse_failed", "mismatch_bits", (F.col("mismatch_bits") != 0).alias("type_mismatch"),
+        *([names.alias("mismatched_fields")] if field_list else []),
     )
 
 
+def mismatched(entity: Entity, name: str) -> Column:
+    """Whether the field came with a value of another JSON type."""
+    return F.col("mismatch_bits").bitwiseAND(F.lit(1 << entity.fields.index(name)).cast("long")) != 0
+
+
 def cast_event_time(df: DataFrame) -> DataFrame:
-    """ISO-8601 string -> timestamp; a bad string becomes NULL, not an error."""
-    return df.withColumn("event_time", F.expr("try_to_timestamp(event_time)"))
+    """ISO-8601 string -> timestamp; a bad string becomes NULL, not an error.
+
+    ``event_time_given`` remembers that there was a text.
+    """
+    given = F.coalesce(F.col("event_time") != "", F.lit(False))
+    return df.withColumn("event_time_given", given).withColumn("event_time", F.expr("try_to_timestamp(event_time)"))
+
+
+def missing(entity: Entity, name: str, profile: str, blank_is_null: bool) -> Column:
+    """Whether a required field is missing: null (or blank), and not merely of a wrong JSON type.
+
+    The bronze profile looks at the parsed columns, so a time that cannot be
+    read is missing there; the other profiles look at what the payload holds.
+    """
+    if name == "event_time" and profile != "bronze":
+        absent = ~F.col("event_time_given")
+    else:
+        absent = rules.is_missing(F.col(name), blank_is_null)
+    return absent & ~mismatched(entity, name)
+
+
+def missing_fields(entity: Entity, profile: str, blank_is_null: bool = True) -> Column:
+    """V5: names of the required fields that are missing."""
+    required = rules.REQUIRED[entity.source_name][profile]
+    return F.array_compact(F.array(*[F.when(missing(entity, c, profile, blank_is_null), F.lit(c)) for c in required]))
 
 
 def add_quality_flags(df: DataFrame, entity: Entity, profile: str = "bronze", blank_is_null: bool = False) -> DataFrame:
-    """V1/V2: null_required_columns and is_record_valid."""
+    """V1/V2: null_required_columns and is_record_valid (nothing missing, and a usable id)."""
     required = rules.REQUIRED[entity.source_name][profile]
-    return df.withColumn(
-        "null_required_columns", rules.null_required_count(required, blank_is_null)
-    ).withColumn("is_record_valid", rules.is_record_valid(entity.id_col, required, blank_is_null))
+    count = reduce(lambda a, b: a + b, [missing(entity, c, profile, blank_is_null).cast("int") for c in required])
+    return df.withColumn("null_required_columns", count).withColumn(
+        "is_record_valid", F.col(entity.id_col).isNotNull() & (F.col("null_required_columns") == 0))
 
 
-def route_column(entity: Entity) -> Column:
-    """V3: one route label per record."""
+def route_column() -> Column:
+    """V3: one route label per record.
+
+    A value of the wrong type, or a time that is there but cannot be read, is a
+    type mismatch unless a required field is missing.
+    """
+    unreadable = F.col("event_time_given") & F.col("event_time").isNull()
     return (
         F.when(F.col("parse_failed"), F.lit(JSON_PARSE_FAILURE))
-        .when(~F.col("is_record_valid"), F.lit(REQUIRED_FIELDS_MISSING))
-        .when(F.col("type_mismatch"), F.lit(TYPE_MISMATCH))
+        .when(F.col("null_required_columns") > 0, F.lit(REQUIRED_FIELDS_MISSING))
+        .when(F.col("type_mismatch") | unreadable, F.lit(TYPE_MISMATCH))
         .otherwise(F.lit(ROUTE_VALID))
     )
 
@@ -118,7 +154,7 @@ def routed(raw: DataFrame, entity: Entity, profile: str = "bronze", blank_is_nul
     """Every envelope record of one topic, parsed, flagged and labelled with ``route``."""
     parsed = cast_event_time(parse_payload(project_envelope(raw), entity))
     flagged = add_quality_flags(parsed, entity, profile, blank_is_null)
-    return flagged.withColumn("route", route_column(entity)).withColumn("source_name", F.lit(entity.source_name))
+    return flagged.withColumn("route", route_column()).withColumn("source_name", F.lit(entity.source_name))
 
 
 def _stamp(df: DataFrame, clock: Column | None) -> DataFrame:

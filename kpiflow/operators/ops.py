@@ -2,8 +2,8 @@
 O3 high-watermark snapshots, O4 ingest lag, M11 late-row audit.
 
 Running values in arrival order are never computed by one window over a
-whole topic: the late-row audit uses a range-partitioned ordered scan
-(``kpiflow.plans.ordered``), and the high watermark runs over per-minute
+whole topic: the late-row audit orders rows inside a second only and carries
+maxima over seconds and minutes, and the high watermark runs over per-minute
 aggregates of (topic, partition), which are small.
 """
 
@@ -77,24 +77,18 @@ def high_watermark(arr: DataFrame) -> DataFrame:
     by_part = Window.partitionBy("source_name", "kafka_partition").orderBy("snapshot_minute")
     deltas = per_part.withColumn("delta", F.col("hw") - F.coalesce(F.lag("hw").over(by_part), F.lit(0)))
     per_minute = deltas.groupBy("source_name", "snapshot_minute").agg(F.sum("delta").alias("delta"))
-    span = per_minute.groupBy("source_name").agg(
-        F.min("snapshot_minute").alias("first"), F.max("snapshot_minute").alias("last")
-    )
-    grid = span.select(
-        "source_name",
-        F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MINUTE"))).alias("snapshot_minute"),
-    )
+    # One row per source and minute with arrivals; the idle minutes up to the next one follow from it.
     by_src = Window.partitionBy("source_name").orderBy("snapshot_minute")
-    snap = grid.join(per_minute, ["source_name", "snapshot_minute"], "left").withColumn(
-        "high_watermark", F.sum(F.coalesce(F.col("delta"), F.lit(0))).over(by_src.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    prev = F.lag("high_watermark").over(by_src)
-    return snap.select(
-        "source_name",
-        "snapshot_minute",
-        F.col("high_watermark").cast("long").alias("high_watermark"),
-        (F.col("high_watermark") - F.coalesce(prev, F.lit(0))).cast("long").alias("new_offsets"),
-        (F.col("high_watermark") > F.coalesce(prev, F.lit(-1))).alias("is_active"),
+    until = F.coalesce(F.lead("snapshot_minute").over(by_src) - F.expr("INTERVAL 1 MINUTE"), F.col("snapshot_minute"))
+    level = F.sum("delta").over(by_src.rowsBetween(Window.unboundedPreceding, 0))
+    first = F.row_number().over(by_src) == 1
+    runs = per_minute.select("source_name", "delta", level.alias("high_watermark"), first.alias("_first"),
+                             F.sequence("snapshot_minute", until, F.expr("INTERVAL 1 MINUTE")).alias("_minutes"))
+    minutes = runs.select("*", F.posexplode("_minutes").alias("_i", "snapshot_minute"))
+    grown = F.when(F.col("_i") == 0, F.col("delta")).otherwise(F.lit(0))
+    return minutes.select(
+        "source_name", "snapshot_minute", F.col("high_watermark").cast("long").alias("high_watermark"),
+        grown.cast("long").alias("new_offsets"), ((grown > 0) | (F.col("_first") & (F.col("_i") == 0))).alias("is_active"),
     )
 
 
@@ -110,6 +104,8 @@ def ingest_lag(arr: DataFrame) -> DataFrame:
         (F.avg(lag_us) / 1e6).alias("avg_lag_seconds"),
         (F.max(lag_us) / 1e6).alias("max_lag_seconds"),
         (F.min(lag_us) / 1e6).alias("min_lag_seconds"),
+        # over whole seconds, so that the counted values stay few however many records a minute has
+        F.percentile(F.floor(lag_us / 1_000_000), 0.95).alias("p95_lag_seconds"),
     )
     return agg.select(
         "source_name",
@@ -119,6 +115,7 @@ def ingest_lag(arr: DataFrame) -> DataFrame:
         "avg_lag_seconds",
         "max_lag_seconds",
         "min_lag_seconds",
+        "p95_lag_seconds",
     )
 
 
@@ -128,23 +125,32 @@ def flag_late_rows(arr: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> Dat
     order: kafka_ingest_time, kafka_partition, kafka_offset). These are the
     rows a stateful streaming operator may drop as late (Spark may keep some
     of them: chained operators filter with the previous batch's watermark)."""
-    from kpiflow.plans.ordered import ordered_scan
-
-    timed = arr.filter(F.col("event_time").isNotNull())
-    scanned = ordered_scan(
-        timed, ["source_name"], ["kafka_ingest_time", "kafka_partition", "kafka_offset"], max_col="event_time"
-    ).withColumnRenamed("_max_before", "max_event_time_before").drop("_pos")
-    late = F.col("event_time") < F.col("max_event_time_before") - F.expr(
-        f"INTERVAL {settings.watermark_delay}"
+    order = ["kafka_ingest_time", "kafka_partition", "kafka_offset"]
+    second, minute = F.date_trunc("second", "kafka_ingest_time"), F.date_trunc("minute", "_second")
+    before = Window.unboundedPreceding, -1
+    # inside a second: row by row; the join below reads the same shuffled rows again, not the input
+    in_second = Window.partitionBy("source_name", "_second").orderBy(*order).rowsBetween(*before)
+    local = arr.filter(F.col("event_time").isNotNull()).withColumn("_second", second).withColumn("_here", F.max("event_time").over(in_second))
+    # up to the second: maxima of the seconds before it in its minute, and of the minutes before
+    seconds = local.groupBy("source_name", "_second").agg(F.max("event_time").alias("_m")).withColumn("_minute", minute)
+    in_minute = Window.partitionBy("source_name", "_minute").orderBy("_second").rowsBetween(*before)
+    minutes = seconds.groupBy("source_name", "_minute").agg(F.max("_m").alias("_mm"))
+    earlier = Window.partitionBy("source_name").orderBy("_minute").rowsBetween(*before)
+    carried = (
+        seconds.withColumn("_in_minute", F.max("_m").over(in_minute))
+        .join(minutes.select("source_name", "_minute", F.max("_mm").over(earlier).alias("_past")), ["source_name", "_minute"])
+        .select("source_name", "_second", F.greatest("_in_minute", "_past").alias("_carried"))
     )
-    return scanned.withColumn("is_late", F.coalesce(late, F.lit(False)))
+    scanned = local.join(carried, ["source_name", "_second"]).withColumn("max_event_time_before", F.greatest("_here", "_carried"))
+    late = F.col("event_time") < F.col("max_event_time_before") - F.expr(f"INTERVAL {settings.watermark_delay}")
+    return scanned.drop("_second", "_here", "_carried").withColumn("is_late", F.coalesce(late, F.lit(False)))
 
 
 def late_rows(arr: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
     """M11 summary per source: rows with an event time, and how many were late."""
-    flagged = flag_late_rows(arr, settings)
+    narrow = arr.select("source_name", "kafka_ingest_time", "kafka_partition", "kafka_offset", "event_time")
+    flagged = flag_late_rows(narrow, settings)
     return flagged.groupBy("source_name").agg(
         F.count(F.lit(1)).alias("rows_checked"),
         count_if(F.col("is_late")).alias("late_rows"),
-        F.max(F.when(F.col("is_late"), F.col("max_event_time_before") - F.col("event_time"))).alias("max_behind"),
-    ).select("source_name", "rows_checked", "late_rows")
+    )

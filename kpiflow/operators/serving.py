@@ -23,6 +23,17 @@ def require_columns(df: DataFrame, columns: list[str], what: str = "query") -> D
     return df
 
 
+def latest_partition(gold: DataFrame) -> DataFrame:
+    """The newest window partition of a stored gold table; only its files are opened.
+
+    The bound is found from the partition values and reaches the scan as a
+    partition filter.
+    """
+    parts = ["window_date", "window_hour", "window_slot"]
+    newest = gold.select(F.max(F.concat_ws(" ", *parts))).scalar()
+    return gold.filter(F.concat_ws(" ", *parts) == newest)
+
+
 def latest_window_rollup(kpis: DataFrame) -> DataFrame:
     """G1: totals over the rows of the latest window_end.
 

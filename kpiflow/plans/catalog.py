@@ -10,6 +10,7 @@ joined with commas.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,11 +21,14 @@ from kpiflow.functions import rules
 from kpiflow.operators import attribution, dedupe, drift, ingest, kpis, ops, quality, serving, summary
 from kpiflow.plans import batch
 from kpiflow.schemas import CLICKS, ORDERS
-from kpiflow.session import ensure_utc
+from kpiflow.session import checkpoint_root, ensure_utc
 from kpiflow.settings import DEFAULT_SETTINGS
+from kpiflow.sources.files import read_json_lines, table_or_empty
 from kpiflow.sources.fixtures import envelope_path, raw_stream_table, topic
+from kpiflow.streaming.sinks import overwrite_partitions, with_window_partitions
 
 PROFILE = "dense"
+ALERT_COLUMNS = [*quality.METRIC_COLUMNS, "alert_level"]
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -77,6 +81,21 @@ def _kpis(spark, sf_dir) -> DataFrame:
     return _memo("kpis", spark, sf_dir, lambda: kpis.realtime_kpis(_silver(spark, sf_dir)))
 
 
+def stored_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A gold table as a serving job finds it: written once, partitioned by window time, then only read."""
+    build = {"realtime_kpis": _kpis, "quality_alerts": _alerts}[name]
+
+    def write() -> str:
+        gold = build(spark, sf_dir)
+        path = f"{checkpoint_root(spark)}/kpiflow-gold/{name}-{uuid.uuid4().hex}"
+        overwrite_partitions(with_window_partitions(gold, DEFAULT_SETTINGS.gold_slot_minutes), path, ["window_date", "window_hour", "window_slot"])
+        return path
+
+    path = _memo(f"gold {name}", spark, sf_dir, write)
+    schema = with_window_partitions(build(spark, sf_dir), DEFAULT_SETTINGS.gold_slot_minutes).schema
+    return table_or_empty(spark, path, schema)
+
+
 def _arrivals(spark, sf_dir) -> DataFrame:
     def build():
         b = _bronze(spark, sf_dir)
@@ -108,6 +127,18 @@ def q_raw_route_counts(spark, sf_dir):
     return a.groupBy("source_name", "route").agg(F.count(F.lit(1)).alias("records"))
 
 
+def q_json_lines_routes(spark, sf_dir):
+    """S3: the payloads of both topics as JSON-lines files, read and routed."""
+    def write() -> str:
+        path = f"{checkpoint_root(spark)}/kpiflow-lines/{uuid.uuid4().hex}"
+        _env(spark, sf_dir).select("source_name", "value").write.partitionBy("source_name").text(path)
+        return path
+
+    path = _memo("lines", spark, sf_dir, write)
+    routed = [ingest.routed(read_json_lines(spark, f"{path}/source_name={e.source_name}"), e).select("source_name", "route") for e in (CLICKS, ORDERS)]
+    return routed[0].unionByName(routed[1]).groupBy("source_name", "route").agg(F.count(F.lit(1)).alias("records"))
+
+
 def q_bronze_valid_clicks(spark, sf_dir):
     return _bronze(spark, sf_dir).clicks.select(
         "event_id", "event_time", "event_type", "session_id", "user_id", "channel", "referrer",
@@ -153,8 +184,7 @@ def q_missing_fields(spark, sf_dir):
     parts = []
     for entity in (CLICKS, ORDERS):
         r = batch.routed_topic(_env(spark, sf_dir), entity, "strict", blank_is_null=True)
-        req = rules.REQUIRED[entity.source_name]["strict"]
-        r = r.filter(~F.col("parse_failed")).withColumn("missing", rules.missing_fields(req, True))
+        r = r.filter(~F.col("parse_failed")).withColumn("missing", ingest.missing_fields(entity, "strict"))
         parts.append(
             r.filter(F.size("missing") > 0).select(
                 "source_name",
@@ -259,19 +289,19 @@ def q_top_campaigns(spark, sf_dir):
 
 
 def q_latest_alerts(spark, sf_dir):
-    return serving.latest_alerts(_alerts(spark, sf_dir), 25)
+    return serving.latest_alerts(stored_gold(spark, sf_dir, "quality_alerts"), 25).select(*ALERT_COLUMNS)
 
 
 def q_latest_window_rollup(spark, sf_dir):
-    return serving.latest_window_rollup(_kpis(spark, sf_dir))
+    return serving.latest_window_rollup(serving.latest_partition(stored_gold(spark, sf_dir, "realtime_kpis")))
 
 
 def q_revenue_by_channel(spark, sf_dir):
-    return serving.revenue_by_channel(_kpis(spark, sf_dir))
+    return serving.revenue_by_channel(stored_gold(spark, sf_dir, "realtime_kpis"))
 
 
 def q_conversion_trend(spark, sf_dir):
-    return serving.conversion_trend(_kpis(spark, sf_dir))
+    return serving.conversion_trend(stored_gold(spark, sf_dir, "realtime_kpis"))
 
 
 # --- operations ----------------------------------------------------------------
@@ -286,7 +316,10 @@ def q_error_rate(spark, sf_dir):
 
 
 def q_high_watermark(spark, sf_dir):
-    return ops.high_watermark(_arrivals(spark, sf_dir))
+    # offsets are in the envelope: no payload is read or parsed
+    env = _env(spark, sf_dir)
+    return ops.high_watermark(env.select(
+        "source_name", F.col("timestamp").alias("kafka_ingest_time"), F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset")))
 
 
 def q_ingest_lag(spark, sf_dir):
@@ -327,7 +360,7 @@ LIVE_FILES_PER_TRIGGER = 8
 def _live(spark, sf_dir, name):
     from kpiflow.streaming.replay import live_table, replay_live
 
-    ws = _memo("live", spark, sf_dir, lambda: replay_live(spark, sf_dir, PROFILE, LIVE_FILES_PER_TRIGGER))
+    ws = _memo("live", spark, sf_dir, lambda: replay_live(spark, envelope_path(spark, sf_dir, PROFILE), LIVE_FILES_PER_TRIGGER))
     return live_table(spark, ws, name)
 
 
@@ -372,6 +405,7 @@ STREAM_QUERIES = {
 
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_route_counts": q_raw_route_counts,
+    "json_lines_routes": q_json_lines_routes,
     "bronze_valid_clicks": q_bronze_valid_clicks,
     "quarantine": q_quarantine,
     "contract_violations": q_contract_violations,

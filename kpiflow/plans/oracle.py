@@ -26,17 +26,21 @@ b1 AS (
          WHEN k < 28 THEN 'organic' WHEN k < 52 THEN 'paid_search' WHEN k < 68 THEN 'social'
          WHEN k < 82 THEN 'email' WHEN k < 92 THEN 'affiliate' ELSE 'direct' END AS raw_channel,
     CASE WHEN m % 25 = 0 THEN 'truncated' WHEN m % 500 = 41 THEN 'blank' WHEN m % 25 = 12 THEN 'null_id'
-         WHEN m % 200 = 31 THEN 'bad_time' WHEN m % 200 = 57 THEN 'bad_type' ELSE 'none' END AS fault
+         WHEN m % 200 = 31 THEN 'bad_time' WHEN m % 200 = 57 THEN 'bad_type'
+         WHEN m % 200 = 83 THEN 'version_text' WHEN m % 200 = 107 THEN 'version_fraction' WHEN m % 200 = 133 THEN 'version_boolean'
+         WHEN m % 200 = 157 THEN 'id_number' WHEN m % 200 = 181 THEN 'user_object' WHEN m % 200 = 71 THEN 'leading_space'
+         WHEN m % 200 = 95 THEN 'key_twice' ELSE 'none' END AS fault
   FROM ev
 ),
 f1 AS (
   SELECT source_name, m, k, u, fault, etime, ts,
     fault IN ('truncated', 'blank') AS parse_failed,
-    CASE WHEN fault IN ('truncated', 'blank', 'null_id') THEN NULL
+    fault IN ('bad_type', 'version_text', 'version_fraction', 'version_boolean') AS version_wrong,
+    CASE WHEN fault IN ('truncated', 'blank', 'null_id', 'id_number') THEN NULL
          ELSE (CASE WHEN source_name = 'orders' THEN 'ord_' ELSE 'evt_' END) || lpad(CAST(m AS VARCHAR), 10, '0') END AS rid,
     CASE WHEN fault IN ('truncated', 'blank', 'bad_time') THEN NULL ELSE etime END AS event_time,
     'sess_' || lpad(CAST(u AS VARCHAR), 6, '0') || '_' || strftime(ts, '%Y%m%d') AS session_id,
-    'usr_' || lpad(CAST(u AS VARCHAR), 6, '0') AS user_id,
+    CASE WHEN fault <> 'user_object' THEN 'usr_' || lpad(CAST(u AS VARCHAR), 6, '0') END AS user_id,
     CASE WHEN m % 97 = 0 THEN 'unknown_evt'
          WHEN et = 'view' THEN CASE WHEN m % 2 = 0 THEN 'page_view' ELSE 'product_view' END
          WHEN et = 'click' THEN CASE WHEN m % 3 = 0 THEN 'add_to_cart' ELSE 'search' END
@@ -59,19 +63,20 @@ f1 AS (
     value AS order_value,
     CAST(1 + m % 5 AS INTEGER) AS items_count,
     k / 100.0 AS fraud_score,
-    CASE WHEN fault = 'bad_type' THEN NULL ELSE 1 END AS schema_version,
+    CASE WHEN fault IN ('bad_type', 'version_text', 'version_fraction', 'version_boolean') THEN NULL ELSE 1 END AS schema_version,
     CAST(u % (CASE WHEN source_name = 'orders' THEN 12 ELSE 24 END) AS INTEGER) AS kafka_partition,
     CASE WHEN fault IN ('truncated', 'blank') THEN 'json_parse_failure'
          WHEN fault IN ('null_id', 'bad_time') THEN 'required_fields_missing'
-         WHEN fault = 'bad_type' THEN 'type_mismatch' ELSE 'valid' END AS route
+         WHEN fault IN ('bad_type', 'version_text', 'version_fraction', 'version_boolean', 'id_number', 'user_object') THEN 'type_mismatch'
+         ELSE 'valid' END AS route
   FROM b1
 ),
 f2 AS (
   SELECT f1.*,
     CASE WHEN parse_failed THEN 'json_parse_failure'
-         WHEN rid IS NULL OR event_time IS NULL OR schema_version IS NULL
-              OR (source_name = 'clickstream' AND (channel IS NULL OR channel = '' OR device_type IS NULL))
+         WHEN fault = 'null_id' OR (source_name = 'clickstream' AND (channel IS NULL OR channel = '' OR device_type IS NULL))
            THEN 'required_fields_missing'
+         WHEN version_wrong OR fault IN ('bad_time', 'id_number', 'user_object') THEN 'type_mismatch'
          ELSE 'valid' END AS strict_route,
     CASE WHEN channel IS NOT NULL AND channel <> '' THEN channel
          WHEN referrer IS NULL OR referrer = '' THEN 'direct'
@@ -210,15 +215,16 @@ def _r(expr: str, name: str) -> str:
 
 
 CLICK_CONTRACT = """list_filter([
-      CASE WHEN rid IS NULL THEN 'event_id:required' END,
+      CASE WHEN fault = 'null_id' THEN 'event_id:required' END,
       CASE WHEN event_type IS NULL THEN 'event_type:required' END,
       CASE WHEN session_id IS NULL THEN 'session_id:required' END,
-      CASE WHEN user_id IS NULL THEN 'user_id:required' END,
       CASE WHEN page_url IS NULL THEN 'page_url:required' END,
       CASE WHEN channel IS NULL THEN 'channel:required' END,
       CASE WHEN device_type IS NULL THEN 'device_type:required' END,
       CASE WHEN country_code IS NULL THEN 'country_code:required' END,
-      CASE WHEN fault = 'bad_type' THEN 'schema_version:type' END,
+      CASE WHEN fault = 'id_number' THEN 'event_id:type' END,
+      CASE WHEN fault = 'user_object' THEN 'user_id:type' END,
+      CASE WHEN version_wrong THEN 'schema_version:type' END,
       CASE WHEN fault = 'bad_time' THEN 'event_time:format' END,
       CASE WHEN length(rid) < 10 THEN 'event_id:minLength' END,
       CASE WHEN event_type NOT IN ('page_view', 'product_view', 'add_to_cart', 'checkout_started', 'search', 'ad_click')
@@ -233,14 +239,15 @@ CLICK_CONTRACT = """list_filter([
     ], lambda x: x IS NOT NULL)"""
 
 ORDER_CONTRACT = """list_filter([
-      CASE WHEN rid IS NULL THEN 'order_id:required' END,
+      CASE WHEN fault = 'null_id' THEN 'order_id:required' END,
       CASE WHEN session_id IS NULL THEN 'session_id:required' END,
-      CASE WHEN user_id IS NULL THEN 'user_id:required' END,
       CASE WHEN status IS NULL THEN 'status:required' END,
       CASE WHEN payment_method IS NULL THEN 'payment_method:required' END,
       CASE WHEN currency IS NULL THEN 'currency:required' END,
       CASE WHEN order_value IS NULL THEN 'order_value:required' END,
-      CASE WHEN fault = 'bad_type' THEN 'schema_version:type' END,
+      CASE WHEN fault = 'id_number' THEN 'order_id:type' END,
+      CASE WHEN fault = 'user_object' THEN 'user_id:type' END,
+      CASE WHEN version_wrong THEN 'schema_version:type' END,
       CASE WHEN fault = 'bad_time' THEN 'event_time:format' END,
       CASE WHEN length(rid) < 10 THEN 'order_id:minLength' END,
       CASE WHEN length(session_id) < 8 THEN 'session_id:minLength' END,
@@ -259,30 +266,24 @@ ORDER_CONTRACT = """list_filter([
     ], lambda x: x IS NOT NULL)"""
 
 CLICK_MISSING = """list_filter([
-      CASE WHEN rid IS NULL OR rid = '' THEN 'event_id' END,
-      CASE WHEN event_time IS NULL THEN 'event_time' END,
+      CASE WHEN fault = 'null_id' THEN 'event_id' END,
       CASE WHEN event_type IS NULL OR event_type = '' THEN 'event_type' END,
       CASE WHEN session_id IS NULL OR session_id = '' THEN 'session_id' END,
-      CASE WHEN user_id IS NULL OR user_id = '' THEN 'user_id' END,
       CASE WHEN page_url IS NULL OR page_url = '' THEN 'page_url' END,
       CASE WHEN channel IS NULL OR channel = '' THEN 'channel' END,
       CASE WHEN device_type IS NULL OR device_type = '' THEN 'device_type' END,
-      CASE WHEN country_code IS NULL OR country_code = '' THEN 'country_code' END,
-      CASE WHEN schema_version IS NULL THEN 'schema_version' END
+      CASE WHEN country_code IS NULL OR country_code = '' THEN 'country_code' END
     ], lambda x: x IS NOT NULL)"""
 
 ORDER_MISSING = """list_filter([
-      CASE WHEN rid IS NULL OR rid = '' THEN 'order_id' END,
-      CASE WHEN event_time IS NULL THEN 'event_time' END,
+      CASE WHEN fault = 'null_id' THEN 'order_id' END,
       CASE WHEN session_id IS NULL OR session_id = '' THEN 'session_id' END,
-      CASE WHEN user_id IS NULL OR user_id = '' THEN 'user_id' END,
       CASE WHEN status IS NULL OR status = '' THEN 'status' END,
       CASE WHEN payment_method IS NULL OR payment_method = '' THEN 'payment_method' END,
       CASE WHEN currency IS NULL OR currency = '' THEN 'currency' END,
       CASE WHEN order_value IS NULL THEN 'order_value' END,
       CASE WHEN items_count IS NULL THEN 'items_count' END,
-      CASE WHEN fraud_score IS NULL THEN 'fraud_score' END,
-      CASE WHEN schema_version IS NULL THEN 'schema_version' END
+      CASE WHEN fraud_score IS NULL THEN 'fraud_score' END
     ], lambda x: x IS NOT NULL)"""
 
 
@@ -340,6 +341,8 @@ def oracle_sql() -> dict[str, str]:
     sv = _with(FIXTURE, SILVER)
     q: dict[str, str] = {}
     q["raw_route_counts"] = fx + "\nSELECT source_name, route, count(*) AS records FROM fx GROUP BY 1, 2"
+    # a blank payload is a blank line, which the scan skips
+    q["json_lines_routes"] = fx + "\nSELECT source_name, route, count(*) AS records FROM fx WHERE fault <> 'blank' GROUP BY 1, 2"
     q["bronze_valid_clicks"] = fx + """
 SELECT rid AS event_id, event_time, event_type, session_id, user_id, channel, referrer, campaign_id, device_type,
   country_code, schema_version, kafka_key, kafka_ingest_time, kafka_partition, kafka_offset,
@@ -491,7 +494,8 @@ FROM snap"""
 SELECT source_name, time_bucket(INTERVAL 1 MINUTE, event_time) AS window_start,
   time_bucket(INTERVAL 1 MINUTE, event_time) + INTERVAL 1 MINUTE AS window_end, count(*) AS records,
   {_r("avg(lag_us) / 1e6", "avg_lag_seconds")}, {_r("max(lag_us) / 1e6", "max_lag_seconds")},
-  {_r("min(lag_us) / 1e6", "min_lag_seconds")}
+  {_r("min(lag_us) / 1e6", "min_lag_seconds")},
+  {_r("quantile_cont(floor(lag_us / 1000000), 0.95)", "p95_lag_seconds")}
 FROM l GROUP BY 1, 2, 3"""
     q["late_rows"] = _with(FIXTURE, ARR) + """
 , t AS (

@@ -9,9 +9,15 @@ from pyspark.sql import SparkSession
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:
-    """Event times are UTC; window bounds and partition columns depend on it."""
+    """Session settings that results depend on.
+
+    Event times are UTC (window bounds and partition columns), and of a key that
+    comes twice in a JSON object the last value counts.
+    """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 

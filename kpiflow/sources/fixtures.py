@@ -41,6 +41,9 @@ STATUS_ELSE = "refunded"
 DENSE_T0_MICROS = 1704067200000000  # 2024-01-01 00:00:00 UTC
 DENSE_FACTOR = 144  # 30 days -> 5 hours
 BAD_EVENT_TIME = "2024-13-01"
+VERSION_BY_FAULT = {
+    "bad_type": '"x"', "version_text": '"1"', "version_fraction": "1.5", "version_boolean": "true", "key_twice": '"x","schema_version":1',
+}
 
 PROFILES = ("sparse", "dense")
 
@@ -135,6 +138,13 @@ def _fault(m: Column) -> Column:
         .when(m % 25 == 12, F.lit("null_id"))
         .when(m % 200 == 31, F.lit("bad_time"))
         .when(m % 200 == 57, F.lit("bad_type"))
+        .when(m % 200 == 83, F.lit("version_text"))
+        .when(m % 200 == 107, F.lit("version_fraction"))
+        .when(m % 200 == 133, F.lit("version_boolean"))
+        .when(m % 200 == 157, F.lit("id_number"))
+        .when(m % 200 == 181, F.lit("user_object"))
+        .when(m % 200 == 71, F.lit("leading_space"))
+        .when(m % 200 == 95, F.lit("key_twice"))
         .otherwise(F.lit("none"))
     )
 
@@ -158,13 +168,19 @@ def _json_body(fault: Column) -> Column:
         "payment_method", F.lit("USD").alias("currency"), "order_value", "items_count", "fraud_score",
         F.col("country_code").alias("shipping_country"),
     )
-    return F.when(F.col("source_name") == "orders", F.to_json(order)).otherwise(F.to_json(click))
+    body = F.when(F.col("source_name") == "orders", F.to_json(order)).otherwise(F.to_json(click))
+    quoted = lambda c: F.concat(F.lit('"'), F.col(c), F.lit('"'))
+    return (
+        F.when(fault == "id_number", F.replace(body, quoted("id"), F.col("m").cast("string")))
+        .when(fault == "user_object", F.replace(body, quoted("user_id"), F.lit('{"name":"x"}')))
+        .otherwise(body)
+    )
 
 
 def _with_version(body: Column, fault: Column) -> Column:
-    """Splice schema_version into the object text, so that one row can carry
-    a wrong-typed value ("x")."""
-    version = F.when(fault == "bad_type", F.lit('"x"')).otherwise(F.lit("1"))
+    """Splice schema_version into the object text, so that a row can carry a
+    wrong-typed value, or the key twice (the last value counts)."""
+    version = F.coalesce(*[F.when(fault == k, F.lit(v)) for k, v in VERSION_BY_FAULT.items()], F.lit("1"))
     return F.concat(_drop_last_char(body), F.lit(',"schema_version":'), version, F.lit("}"))
 
 
@@ -173,6 +189,7 @@ def _payload_text(full: Column, fault: Column) -> Column:
     return (
         F.when(fault == "truncated", _drop_last_char(full))
         .when(fault == "blank", F.lit(""))
+        .when(fault == "leading_space", F.concat(F.lit("\n\t "), full))
         .otherwise(full)
     )
 
@@ -211,7 +228,7 @@ def assign_offsets(sent: DataFrame) -> DataFrame:
     return scanned.withColumnRenamed("_pos", "offset")
 
 
-FIXTURE_VERSION = "v4"
+FIXTURE_VERSION = "v5"
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str, profile: str) -> str:

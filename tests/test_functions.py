@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from kpiflow.functions import rules
 from kpiflow.functions.channel import normalize_channel
@@ -57,23 +58,34 @@ def test_intent_grows_with_order_value(spark):
     assert a > b
 
 
+def _flagged(spark, rows):
+    schema = "event_id string, event_time string, session_id string, user_id string"
+    from kpiflow.operators import ingest
+
+    df = spark.createDataFrame(rows, schema).withColumn("mismatch_bits", F.lit(0).cast("long"))
+    return ingest.cast_event_time(df)
+
+
 def test_null_count_and_validity(spark):
-    df = spark.createDataFrame(
-        [("e1", "t", "s", "u"), (None, "t", "s", "u"), ("e3", None, None, "u"), ("e4", "", "s", "u")],
-        "event_id string, event_time string, session_id string, user_id string",
-    )
-    req = ["event_id", "event_time", "session_id", "user_id"]
-    out = df.select(rules.null_required_count(req).alias("n"), rules.is_record_valid("event_id", req).alias("ok"),
-                    rules.is_record_valid("event_id", req, blank_is_null=True).alias("strict_ok")).collect()
-    assert [r.n for r in out] == [0, 1, 2, 0]
-    assert [r.ok for r in out] == [True, False, False, True]
-    assert [r.strict_ok for r in out] == [True, False, False, False]
+    from kpiflow.operators import ingest
+    from kpiflow.schemas import CLICKS
+
+    t = "2024-01-01T00:00:00Z"
+    df = _flagged(spark, [("e1", t, "s", "u"), (None, t, "s", "u"), ("e3", None, None, "u"), ("e4", t, "", "u")])
+    out = ingest.add_quality_flags(df, CLICKS).collect()
+    blank = ingest.add_quality_flags(df, CLICKS, blank_is_null=True).collect()
+    assert [r.null_required_columns for r in out] == [0, 1, 2, 0]
+    assert [r.is_record_valid for r in out] == [True, False, False, True]
+    assert [r.is_record_valid for r in blank] == [True, False, False, False]
 
 
 def test_missing_fields_lists_null_and_blank(spark):
-    df = spark.createDataFrame([("a", "", None)], "x string, y string, z string")
-    assert df.select(rules.missing_fields(["x", "y", "z"])).first()[0] == ["y", "z"]
+    from kpiflow.operators import ingest
+    from kpiflow.schemas import CLICKS
 
+    df = _flagged(spark, [("a", "soon", "", None), ("a", "", "s", "u")])
+    got = [list(r.m) for r in df.select(ingest.missing_fields(CLICKS, "bronze").alias("m")).collect()]
+    assert got == [["event_time", "session_id", "user_id"], ["event_time"]]
 
 def test_contract_violations_labels(spark):
     schema = ("order_id string, event_time string, session_id string, user_id string, status string, "

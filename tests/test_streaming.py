@@ -95,20 +95,22 @@ def test_final_path_equals_batch(spark, sf_small):
     assert off.count() == 0
 
 
-def test_live_path_spans_a_month(spark, sf_small):
-    """The 30-day profile in several micro-batches: every KPI equals batch, and the same micro-batch again changes nothing."""
+def test_live_path_spans_days(spark, sf_small):
+    """Five days of the sparse profile, 720 slots, in one micro-batch: every KPI equals batch, and rows that come again change nothing."""
     from kpiflow.sources.fixtures import envelope_path
 
-    batch_kpis = kpis.realtime_kpis(batch.silver(batch.bronze(raw_stream_table(spark, sf_small, "sparse"))))
-    assert envelope_path(spark, sf_small, "sparse")
-    ws = replay.replay_live(spark, sf_small, "sparse", 400)
+    env = f"{checkpoint_root(spark)}/test-days-{uuid.uuid4().hex[:8]}"
+    spark.read.parquet(envelope_path(spark, sf_small, "sparse")).filter("timestamp < '2024-01-06'").write.partitionBy("source_name").parquet(env)
+    batch_kpis = kpis.realtime_kpis(batch.silver(batch.bronze(spark.read.parquet(env))))
+    ws = replay.replay_live(spark, env)
     live = replay.live_table(spark, ws, "realtime_kpis")
+    assert live.select(F.to_date("window_start")).distinct().count() == 5
     assert _kpi_cols(live).exceptAll(_kpi_cols(batch_kpis)).count() == 0
     assert _kpi_cols(batch_kpis).exceptAll(_kpi_cols(live)).count() == 0
 
     tables = ("realtime_kpis", "campaign_sliding", "silver_session_attribution")
     first = {t: sorted(map(repr, spark.read.parquet(ws.table(t)).collect())) for t in tables}
-    some = spark.read.parquet(ws.table("bronze_clickstream")).select("event_time", "source_name").orderBy("event_time").limit(50)
+    some = spark.read.parquet(ws.table("bronze_clickstream")).select("event_time", "source_name").orderBy("event_time").limit(10)
     jobs.live_batch_writer(spark, ws)(some, 0)  # a micro-batch that runs again after a crash
     for t, rows in first.items():
         assert rows == sorted(map(repr, spark.read.parquet(ws.table(t)).collect())), t
@@ -192,6 +194,39 @@ def test_streaming_drops_exactly_the_audited_late_rows(spark, sf_small):
     assert dropped <= late_ids
 
 
+def test_live_path_reads_touched_hours_only(spark, tmp_path):
+    rows = [(i, BASE + dt.timedelta(minutes=7 * i)) for i in range(2000)]
+    table = spark.createDataFrame(rows, "event_id int, event_time timestamp")
+    table = table.withColumn("event_date", F.to_date("event_time")).withColumn("event_hour", F.date_format("event_time", "HH"))
+    table.write.partitionBy(*jobs.PARTITIONS).parquet(str(tmp_path / "t"))
+    slots = spark.createDataFrame([(BASE + dt.timedelta(hours=30),)], "slot timestamp").distinct().persist()
+    found = jobs._in_slots(spark.read.parquet(str(tmp_path / "t")), slots, 10)
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.event_id for r in found.collect()) == [i for i, t in rows if dt.timedelta(hours=30) <= t - BASE < dt.timedelta(hours=30, minutes=10)]
+
+
+def test_progress_log(spark):
+    import time
+
+    from kpiflow.streaming.monitor import ProgressLog
+
+    root = f"{checkpoint_root(spark)}/test-progress-{uuid.uuid4().hex[:8]}"
+    _write(spark, [("k", "{}", BASE, 0, i) for i in range(3)], f"{root}/in")
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        src = spark.readStream.schema(ENVELOPE).parquet(f"{root}/in")
+        jobs.supervise(spark, [append_sink(src, f"{root}/out", f"{root}/ckpt", None, replay.AVAILABLE_NOW, query_name="copy")])
+        for _ in range(50):
+            if any(r[3] for r in log.rows):
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    rows = log.frame(spark).filter("input_rows > 0").collect()
+    assert [(r["query"], r.input_rows) for r in rows] == [("copy", 3)] and not log.failures
+
+
 def test_supervise_surfaces_a_failing_query(spark):
     """One failing query stops the wait with its error."""
     import pytest

@@ -2,7 +2,7 @@
 
 Usage: python tools/plans_report.py [sf_dir]
 For each query: shuffles (Exchange), whole-stage-codegen stages, window
-group limits, joins, and each scan's partition filters, pushed filters and
+group limits, Expand nodes, scans, JSON parses, joins, and each scan's partition filters, pushed filters and
 read schema -- the evidence for pruning, pushdown and shuffle counts.
 """
 
@@ -36,6 +36,8 @@ def summarize(spark, df) -> dict:
         "exchanges": tree.count("Exchange"),
         "codegen_ops": tree.count("* "),
         "window_group_limits": tree.count("WindowGroupLimit"),
+        "expands": len(re.findall(r"\bExpand \(", tree)),
+        "parses": text.count("parseJson"),
         "joins": [o for o in ops if "Join" in o],
         "scans": scans,
     }
@@ -52,11 +54,12 @@ def main() -> None:
            "10 MB) on the small sf0.01 inputs; at scale those sides exceed it and the interval",
            "join plans as a sort-merge join on (session_id, user_id, time bucket), as in",
            "`session_attribution`.", ""]
-    out += ["| query | shuffles | codegen ops | window group limits | joins |", "|---|---|---|---|---|"]
+    out += ["| query | shuffles | codegen ops | window group limits | Expand | scans | JSON parses | joins |", "|---|---|---|---|---|---|---|---|"]
     details = []
     for name, fn in BATCH_QUERIES.items():
         s = summarize(spark, presented(fn)(spark, sf_dir))
         out.append(f"| {name} | {s['exchanges']} | {s['codegen_ops']} | {s['window_group_limits']} | "
+                   f"{s['expands']} | {len(s['scans'])} | {s['parses']} | "
                    f"{', '.join(sorted(set(s['joins']))) or '-'} |")
         for i, sc in enumerate(s["scans"]):
             details.append(f"* `{name}` scan {i + 1}: partition filters `{sc.get('PartitionFilters', '-')}`; "
