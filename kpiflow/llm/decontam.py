@@ -77,11 +77,10 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _shingles(tids: np.ndarray) -> np.ndarray:
-    """64-bit codes of the five-term shingles; a term outside the index (-1) makes codes that match nothing."""
+def _shingles(tids: np.ndarray, width: int) -> np.ndarray:
+    """64-bit codes of the shingles of ``width`` terms; a term outside the index (-1) makes codes that match nothing."""
     n = len(tids)
-    width = min(n, SHINGLE)
-    if n == 0:
+    if not 0 < width <= n:
         return np.empty(0, np.uint64)
     code = np.full(n - width + 1, width, np.uint64)
     bad = np.zeros(n - width + 1, bool)
@@ -105,7 +104,7 @@ class Index:
     block: np.ndarray
     block_max: np.ndarray
     top: np.ndarray  # largest impact of each term
-    questions: list[np.ndarray]
+    questions: list[tuple[int, np.ndarray]]  # words of a shingle, and the shingles
     answers: list[np.ndarray]
     n_blocks: int
     window: int
@@ -137,7 +136,7 @@ def build_index(questions: list[list[str]], answers: list[list[str]], df: dict[s
     ids = lambda words: np.array([vocab[w] for w in words], dtype=np.int64)
     return Index(
         vocab, start, i, impact, np.searchsorted(t[first], np.arange(len(vocab) + 1)), i[first] // BLOCK, block_max, top,
-        [np.unique(_shingles(ids(q))) for q in questions], [np.unique(ids(a)) for a in answers],
+        [(w, np.unique(_shingles(ids(q), w))) for q in questions for w in (min(len(q), SHINGLE),)], [np.unique(ids(a)) for a in answers],
         -(-len(questions) // BLOCK), 2 * max([64, *(len(q) + len(a) for q, a in zip(questions, answers))]),
     )
 
@@ -189,8 +188,8 @@ def search(index: Index, texts: list[str | None], threshold: float = THRESHOLD,
             w, t = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
             for win, item, score in retrieve(index, w, t, len(spans), threshold):
                 text, tids = spans[win]
-                q, a = index.questions[item], index.answers[item]
-                in_q = np.isin(q, _shingles(tids)).mean() if len(q) else 0.0
+                (width, q), a = index.questions[item], index.answers[item]
+                in_q = np.isin(q, _shingles(tids, width)).mean() if len(q) else 0.0
                 in_a = np.isin(a, tids).mean() if len(a) else 1.0
                 if in_q >= overlap and in_a >= overlap:
                     yield text, item, score, float(in_q), float(in_a)
