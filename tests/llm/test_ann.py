@@ -64,3 +64,20 @@ def test_tree_skips_points():
         d = ((points - q) ** 2).sum(axis=1)
         assert set(np.argsort(d, kind="stable")[:10]) <= set(rows) or np.sort(d)[:10].max() == pytest.approx(np.sort(d[rows])[:10].max())
         assert len(rows) < len(points) / 2
+
+
+@pytest.mark.parametrize("kind", ["one very long", "log-normal", "one huge"])
+def test_lengths_that_differ(spark, kind):
+    draw = np.random.default_rng(5)
+    points = draw.normal(size=(1200, 16))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    if kind == "log-normal":
+        points *= np.exp(draw.normal(size=(1200, 1)))
+    else:
+        points[7] *= 10 if kind == "one very long" else 1e9
+    rows = [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(points)]
+    want = {q: [v for v, _ in found] for q, found in brute(rows, 20).items()}
+    got = {}
+    for r in ann.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, shard_rows=600).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == want
