@@ -6,14 +6,17 @@ of characters inside links) and the containers it stands in.
 
 Pass 1 decides what can be decided: blocks in containers that are no article text by
 tag, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms,
-comments) are boilerplate; where a page marks its article (``article``, else ``main``),
-blocks inside it are text and blocks outside are not, except that a list item
-that is all link is boilerplate; on other pages link-dense blocks and long blocks
-without stop words are boilerplate, long blocks with stop words are text, and the
-rest is ambiguous.
+comments) are boilerplate; link-dense blocks and long blocks without stop words are
+boilerplate, long blocks with stop words are text, and the rest is ambiguous. An
+``article`` (else ``main``) is one more feature, on pages where it holds most of the long
+blocks' text (of all text, where no block is long), so teaser cards do not count as the
+article: inside, more links are allowed, headings may be links, and a long block without stop words is
+ambiguous; outside, a long block needs the higher stop-word density and a middling
+one is ambiguous, and short blocks are boilerplate.
 
 Pass 2 gives each ambiguous block the label of the nearest decided block
-outside such containers; at equal distance text wins; without any, it is text.
+outside such containers and on its side of the marked article, if there is one; at
+equal distance text wins; without any, it is text.
 
 Whole pages are read. Defined results: null, empty or tag-only html gives the empty
 text; broken markup (unclosed, stray or cut tags, comments and quotes) is read as far
@@ -28,13 +31,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LINK_DENSE = 0.35
+LINK_DENSE, LINK_DENSE_INSIDE = 0.35, 0.6
 SHORT, LONG = 60, 160
 STOPS_LOW, STOPS_HIGH = 0.1, 0.2
 
@@ -55,6 +59,7 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " head header hr html li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 # Words of class and id names (cut at anything but letters) that mark such containers.
 DROP_NAMES = frozenset(
@@ -82,11 +87,11 @@ class Block:
     link_chars: int
     label: str | None = None
 
-    @property
+    @cached_property
     def link_density(self) -> float:
         return min(1.0, self.link_chars / max(1, len(self.text)))
 
-    @property
+    @cached_property
     def stop_density(self) -> float:
         words = self.text.lower().split()
         return sum(w.strip(_STRIP) in STOP_WORDS for w in words) / max(1, len(words))
@@ -181,35 +186,46 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
+def _marked(found: list[Block]) -> str | None:
+    """The tag that marks the article of the page: it holds most of the long blocks' text."""
+    free = [b for b in found if not b.dropped and b.link_density <= LINK_DENSE_INSIDE]
+    free = [b for b in free if len(b.text) >= LONG] or free
+    total = sum(len(b.text) for b in free)
+    for tag in ("article", "main"):
+        if 2 * sum(len(b.text) for b in free if getattr(b, tag)) > total:
+            return tag
+    return None
+
+
+def _first_pass(b: Block, inside: bool | None) -> str | None:
+    """The label of a block by its own features; ``inside`` the marked article, outside it, or None without one."""
+    if b.dropped:
+        return "boilerplate"
+    if b.link_density > (LINK_DENSE_INSIDE if inside else LINK_DENSE):
+        return None if inside and b.tag in HEADINGS else "boilerplate"
+    if len(b.text) >= LONG:
+        if b.stop_density >= (STOPS_HIGH if inside is False else STOPS_LOW):
+            return "text"
+        return "boilerplate" if b.stop_density < STOPS_LOW and not inside else None
+    if len(b.text) >= SHORT and b.stop_density >= STOPS_HIGH:
+        return None if inside is False else "text"
+    return "boilerplate" if inside is False else None
+
+
 def classify(found: list[Block]) -> list[Block]:
     """Sets the label, ``text`` or ``boilerplate``, of each block."""
-    inside = None
-    if any(b.article and not b.dropped for b in found):
-        inside = "article"
-    elif any(b.main and not b.dropped for b in found):
-        inside = "main"
+    marked = _marked(found)
     for b in found:
-        if b.dropped:
-            b.label = "boilerplate"
-        elif inside:
-            menu = b.tag == "li" and b.link_density >= 0.95
-            b.label = "text" if getattr(b, inside) and not menu else "boilerplate"
-        elif b.link_density > LINK_DENSE:
-            b.label = "boilerplate"
-        elif len(b.text) >= SHORT:
-            stops = b.stop_density
-            if stops >= STOPS_HIGH or (stops >= STOPS_LOW and len(b.text) >= LONG):
-                b.label = "text"
-            elif stops < STOPS_LOW and len(b.text) >= LONG:
-                b.label = "boilerplate"
-    before, after, last = {}, {}, None
+        b.label = _first_pass(b, getattr(b, marked) if marked else None)
+    before, after = {}, {}
+    side = [bool(marked and getattr(b, marked)) for b in found]
     for order, near in ((range(len(found)), before), (range(len(found) - 1, -1, -1), after)):
-        last = None
+        last: dict[bool, int] = {}
         for i in order:
             if found[i].label is None:
-                near[i] = last
+                near[i] = last.get(side[i])
             elif not found[i].dropped:
-                last = i
+                last[side[i]] = i
     for i in before:
         sides = [(abs(i - j), found[j].label != "text") for j in (before[i], after[i]) if j is not None]
         found[i].label = "boilerplate" if sides and min(sides)[1] else "text"

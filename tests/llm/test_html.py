@@ -46,3 +46,22 @@ def test_table(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"] and got.count() == 4
     assert {r.page_id: (r.text, r.n_chars) for r in got.collect()}[1] == (f"é😀 {LONG}", len(LONG) + 3)
     assert H.extract(pages.limit(0)).count() == 0
+
+
+BODY = f"{LONG} {LONG}"
+CARD = "<article><h3><a href=x>Another story</a></h3><p>Read more of it.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (page(f"{CARD * 3}<div><h1>Title</h1><p>{BODY}</p><p>{BODY}</p></div>"), f"Title\n{BODY}\n{BODY}"),  # the body beside teaser cards
+        (page(f"<main>{CARD}</main><div><p>{BODY}</p></div>{CARD}"), BODY),
+        (page(f"<article><h1><a href=x>Title</a></h1><p>{BODY}</p><p>See: <a href=y>this and that of the same kind</a></p></article>"), f"Title\n{BODY}"),
+        (page(f"<article><p>{BODY}</p><p>{BODY}</p><p>Ok.</p></article><div>out</div><div>{BODY}</div>"), f"{BODY}\n{BODY}\nOk.\n{BODY}"),
+    ],
+)
+def test_article_is_one_feature(html, text):
+    kept = main_text(html).split("\n")
+    assert [t for t in kept if t not in ("Another story", "Read more of it.")] == text.split("\n")
+    assert "Another story" not in kept
