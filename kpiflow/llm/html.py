@@ -6,13 +6,16 @@ of characters inside links) and the containers it stands in.
 
 Pass 1 decides what can be decided: blocks in containers that are no article text by
 tag, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms,
-comments) are boilerplate; link-dense blocks and long blocks without stop words are
+comments) are boilerplate, except a container dropped by class or id that holds more than
+``WRAPPER`` of the page's unlinked text; link-dense blocks and long blocks without stop words are
 boilerplate, long blocks with stop words are text, and the rest is ambiguous. An
 ``article`` (else ``main``) is one more feature, on pages where it holds most of the long
 blocks' text (of all text, where no block is long), so teaser cards do not count as the
 article: inside, more links are allowed, headings may be links, and a long block without stop words is
 ambiguous; outside, a long block needs the higher stop-word density and a middling
-one is ambiguous, and short blocks are boilerplate.
+one is ambiguous, and short blocks are boilerplate. Where long varied blocks without stop
+words outweigh the text with them, the page is in a language that the lists do not
+know: these blocks are text then (ambiguous outside the marked article).
 
 Pass 2 gives each ambiguous block the label of the nearest decided block
 outside such containers and on its side of the marked article, if there is one; at
@@ -61,7 +64,8 @@ BLOCK_TAGS = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
-# Words of class and id names (cut at anything but letters) that mark such containers.
+# Class and id names that mark such containers: alone, as the last word of a compound without one of STATES, or as
+# its first word when all others are in PARTS. Words are runs of letters.
 DROP_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion promoted banner cookie cookies consent gdpr notice notices"
     " alert popup modal overlay paywall newsletter subscribe subscription signup login menu nav navbar navigation breadcrumb breadcrumbs pagination"
@@ -69,12 +73,22 @@ DROP_NAMES = frozenset(
     " reply replies toolbar topbar skip".split()
 )
 
+STATES = frozenset("has have no not non with without is hide hides hidden show shows toggle before after under beside content layout".split())
+PARTS = frozenset(
+    "area banner bar block body bottom box button buttons container content col column form group holder inner item items left link links list"
+    " main menu outer panel post posts primary right row secondary section slot stories story top unit wrap wrapper widget widgets x".split()
+)
+# Often longer than the article, so never taken for a wrapper of the page.
+COMMENTS = frozenset("comment comments respond disqus reply replies".split())
+#: Share of the page's unlinked text from which a container named so is a wrapper of the page, whatever its name.
+WRAPPER = 0.75
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+_ATTR = re.compile(r"([^\s\"'=<>/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _NAME = re.compile(r"[a-z]+")
 _STRIP = ".,;:!?()[]\"'*%$#&|«»“”…-"
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
+_NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none")
 
 
 @dataclass
@@ -97,47 +111,82 @@ class Block:
         return sum(w.strip(_STRIP) in STOP_WORDS for w in words) / max(1, len(words))
 
 
-def _drops(tag: str, attrs: str) -> bool:
-    if tag in DROP_TAGS:
+def _named(token: str) -> bool:
+    """Whether a class or id name marks a container without article text."""
+    words = _NAME.findall(token)
+    if len(words) < 2:
+        return bool(words) and words[0] in DROP_NAMES
+    if words[-1] in DROP_NAMES and STATES.isdisjoint(words[:-1]):
         return True
+    return words[0] in DROP_NAMES and PARTS.issuperset(words[1:])
+
+
+def _drops(tag: str, attrs: str) -> str:
+    """Why the element holds no article text: ``sure`` (tag, role, hidden, readers' comments), ``name`` (class or id), or the empty text."""
+    if tag in DROP_TAGS:
+        return "sure"
     if tag in ("body", "html", "article", "main") and "role" not in attrs and "comment" not in attrs:
-        return False
+        return ""
+    why = ""
     for name, value in _ATTR.findall(attrs):
-        value = value.strip("\"'").lower()
-        if name.lower() == "role":
-            if value in DROP_ROLES:
-                return True
-        elif not DROP_NAMES.isdisjoint(_NAME.findall(value)):
-            return True
-    return bool(_HIDDEN.search(attrs)) and tag not in ("input", "html", "body")
+        name, value = name.lower(), value.strip("\"'").lower()
+        if name == "role" and value in DROP_ROLES:
+            return "sure"
+        if tag not in ("input", "html", "body") and (name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _NO_DISPLAY.search(value))):
+            return "sure"
+        if name in ("class", "id") and any(_named(t) for t in value.split()):
+            why = "sure" if why == "sure" or not COMMENTS.isdisjoint(_NAME.findall(value)) else "name"
+    return why
+
+
+def _drop_named(found: list[Block], spans: list[tuple[int, int]]) -> None:
+    """Marks the blocks of containers dropped by name, but not of those that hold most of the page's unlinked text."""
+    upto, articles = [0], [0]
+    for b in found:
+        articles.append(articles[-1] + (not b.dropped and (b.article or b.main)))
+        upto.append(upto[-1] + (0 if b.dropped else max(0, len(b.text) - b.link_chars)))
+    steps = [0] * (len(found) + 1)
+    for lo, hi in spans:
+        size, outside = upto[hi] - upto[lo], articles[-1] - (articles[hi] - articles[lo])
+        if size <= WRAPPER * upto[-1] or (size < LONG and outside):  # an advert may be longer than a short article
+            steps[lo] += 1
+            steps[hi] -= 1
+    depth = 0
+    for b, step in zip(found, steps):
+        depth += step
+        b.dropped = b.dropped or depth > 0
 
 
 def blocks(html: str) -> list[Block]:
     out: list[Block] = []
-    stack: list[tuple[str, bool, str]] = []  # open tag, whether it drops what it holds, block tag around it
+    stack: list[tuple[str, bool, int, str]] = []  # open tag, whether it surely drops what it holds, first block if it drops by name (else -1), block tag around it
+    named: list[tuple[int, int]] = []  # blocks from, to of containers that drop by name
     open_tags: Counter[str] = Counter()
     parts: list[str] = []
     link_chars, in_link, at, own = 0, 0, 0, "body"
     drop_depth = article_depth = main_depth = 0
+    pending = False  # whether the open block has text
 
     def close_block():
-        nonlocal link_chars
+        nonlocal link_chars, pending
         text = " ".join(unescape("".join(parts)).split())
         if text:
             out.append(Block(text, own, drop_depth > 0, article_depth > 0, main_depth > 0, link_chars))
         parts.clear()
-        link_chars = 0
+        link_chars, pending = 0, False
 
     def leave(k: int):
         """Ends the open tags from place k on."""
         nonlocal drop_depth, article_depth, main_depth, in_link, own
-        for t, d, _ in stack[k:]:
+        for t, d, lo, _ in stack[k:]:
+            if 0 <= lo < len(out):
+                named.append((lo, len(out)))
             open_tags[t] -= 1
             drop_depth -= d
             article_depth -= t == "article"
             main_depth -= t == "main"
             in_link -= t == "a"
-        own = stack[k][2]
+        own = stack[k][3]
         del stack[k:]
 
     while True:
@@ -145,6 +194,7 @@ def blocks(html: str) -> list[Block]:
         data = html[at : m.start() if m else len(html)]
         if data:
             parts.append(data)
+            pending = pending or bool((unescape(data) if "&" in data else data).strip())
             if in_link:
                 link_chars += len(" ".join(unescape(data).split()))
         if m is None:
@@ -173,16 +223,20 @@ def blocks(html: str) -> list[Block]:
             if tag == "a":
                 in_link += 1
             d = _drops(tag, attrs)
-            drop_depth += d
+            drop_depth += d == "sure"
             article_depth += tag == "article"
             main_depth += tag == "main"
-            stack.append((tag, d, own))
+            # text before an inline element in the same block is not in it
+            stack.append((tag, d == "sure", len(out) + pending if d == "name" else -1, own))
             open_tags[tag] += 1
             if tag in BLOCK_TAGS:
                 own = tag
         elif open_tags[tag]:
             leave(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
     close_block()
+    if stack:
+        leave(0)
+    _drop_named(out, named)
     return out
 
 
@@ -197,8 +251,16 @@ def _marked(found: list[Block]) -> str | None:
     return None
 
 
-def _first_pass(b: Block, inside: bool | None) -> str | None:
-    """The label of a block by its own features; ``inside`` the marked article, outside it, or None without one."""
+def _unlisted(b: Block) -> bool:
+    """A long block that may be prose of a language without stop words here."""
+    if b.dropped or len(b.text) < LONG or b.stop_density >= STOPS_LOW or b.link_density > LINK_DENSE:
+        return False
+    words = b.text.lower().split()
+    return len(set(words)) >= min(0.25 * len(words), 50)
+
+
+def _first_pass(b: Block, inside: bool | None, listed: bool) -> str | None:
+    """The label of a block by its own features; ``inside`` the marked article, outside it, or None without one; ``listed``: the page's language has stop words."""
     if b.dropped:
         return "boilerplate"
     if b.link_density > (LINK_DENSE_INSIDE if inside else LINK_DENSE):
@@ -206,6 +268,8 @@ def _first_pass(b: Block, inside: bool | None) -> str | None:
     if len(b.text) >= LONG:
         if b.stop_density >= (STOPS_HIGH if inside is False else STOPS_LOW):
             return "text"
+        if not listed and _unlisted(b):
+            return None if inside is False else "text"
         return "boilerplate" if b.stop_density < STOPS_LOW and not inside else None
     if len(b.text) >= SHORT and b.stop_density >= STOPS_HIGH:
         return None if inside is False else "text"
@@ -215,8 +279,10 @@ def _first_pass(b: Block, inside: bool | None) -> str | None:
 def classify(found: list[Block]) -> list[Block]:
     """Sets the label, ``text`` or ``boilerplate``, of each block."""
     marked = _marked(found)
+    known = sum(len(b.text) for b in found if not b.dropped and len(b.text) >= SHORT and b.stop_density >= STOPS_LOW and b.link_density <= LINK_DENSE)
+    listed = known >= sum(len(b.text) for b in found if _unlisted(b))
     for b in found:
-        b.label = _first_pass(b, getattr(b, marked) if marked else None)
+        b.label = _first_pass(b, getattr(b, marked) if marked else None, listed)
     before, after = {}, {}
     side = [bool(marked and getattr(b, marked)) for b in found]
     for order, near in ((range(len(found)), before), (range(len(found) - 1, -1, -1), after)):

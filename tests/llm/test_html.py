@@ -65,3 +65,39 @@ def test_article_is_one_feature(html, text):
     kept = main_text(html).split("\n")
     assert [t for t in kept if t not in ("Another story", "Read more of it.")] == text.split("\n")
     assert "Another story" not in kept
+
+
+RUSSIAN = " ".join(f"Кошка номер {i} сидела на крыше и смотрела, как вечер гаснет за рекой {i * i}." for i in range(4))
+CHINESE = "".join(f"第{i}只猫坐在屋顶上,看着夜色慢慢落在河的另一边。" for i in range(12))
+POLISH = "Kot siedział wczoraj cicho przy oknie, patrząc jak deszcz pada nad miastem, podczas gdy dzieci wracały szkolnym autobusem ku domom, śmiejąc się głośno przez całą długą drogę."
+
+
+@pytest.mark.parametrize("attrs", ['style="overflow:hidden"', 'class="overflow-hidden"', 'aria-hidden="false"', 'class="has-sidebar"', 'class="no-sidebar"', 'class="page with-header"',
+                                   "class=header", 'class="sidebar-layout"', 'id="menu-open"', 'data-x="hidden"'])
+def test_wrappers_keep_the_page(attrs):
+    assert main_text(page(f"<div {attrs}><article><h1>T</h1><p>{LONG}</p></article></div><p>x</p>")).startswith(f"T\n{LONG}")
+    assert LONG in main_text(page(f"<div {attrs}><p>{LONG}</p></div>"))
+
+
+@pytest.mark.parametrize("attrs", ["hidden", 'aria-hidden="true"', 'style="color:red; display : none"', 'class="page-sidebar"', 'class="sidebar-left x"', 'id="ad-300x250"', "class=share-buttons", 'class="site_footer"'])
+def test_containers_that_drop(attrs):
+    assert main_text(page(f"<p>{BODY}</p><p>{BODY}</p><div {attrs}><p>{LONG}</p></div>")) == f"{BODY}\n{BODY}"
+
+
+def test_an_advert_longer_than_the_article_goes():
+    assert main_text(page("<div class=ad>Buy this and that and more of it now.</div><article><h1>T</h1><p>x</p></article>")) == "T\nx"
+
+
+def test_comments_may_outweigh_the_article():
+    assert main_text(page(f"<p>{BODY}</p><div class=comments>{f'<p>{BODY}</p>' * 20}</div>")) == BODY
+
+
+@pytest.mark.parametrize("text", [RUSSIAN, CHINESE, POLISH])
+def test_other_languages(text):
+    menu = "<ul>" + "<li><a href=x>Link</a></li>" * 3 + "</ul>"
+    assert main_text(page(f"{menu}<p>{text}</p>{menu}")) == text
+    assert main_text(page(f"{menu}<p>{text}</p><p>{LONG}</p><p>{text} 2</p>{menu}")) == f"{text}\n{LONG}\n{text} 2"
+
+
+def test_many_named_elements_stay_linear():
+    main_text("<p>" + "<span class=ad> " * 30_000), main_text("<div class=ad>" * 30_000 + "x")
