@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiflow.llm import ann, decontam, html, lines, minhash, mixing, pii, quality, sharding, tokens
+from kpiflow.llm import ann, decontam, html, lines, minhash, mixing, periodic, pii, quality, sharding, tokens
 from kpiflow.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op10_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digest(table(spark, sf_dir, "documents"), periodic.planted_text(F.col("doc_id"), F.col("text")))
+
+
 #: op9 recomputed from the contract: water-filled targets, then the prefix of the Pareto order per source.
 OP9_SQL = r"""
 WITH d AS (
@@ -91,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_factorisation_quality": op8_factorisation_quality,
         "op9_pareto_mixing": op9_pareto_mixing,
         "op10_bm25_decontamination": op10_bm25_decontamination,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
