@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiflow.llm import ann, decontam, html, lines, minhash, mixing, periodic, pii, quality, sharding, tokens
+from kpiflow.llm import ann, decontam, html, lines, minhash, mixing, periodic, pii, prefix_trie, quality, sharding, tokens
 from kpiflow.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op10_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_nodes(prefix_trie.branched(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digest(table(spark, sf_dir, "documents"), periodic.planted_text(F.col("doc_id"), F.col("text")))
 
@@ -83,6 +87,41 @@ FROM c
 """
 
 
+#: op12 recomputed from the contract: nodes as groups of equal prefixes, subtrees by a join on prefixes. crc32 has no
+#: DuckDB function: it is taken bit by bit over the decimal digits (an XOR with 0xEDB88320 for each 1 shifted out).
+OP12_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role_, md5(length(role_) || ':' || role_ || text_)) AS k,
+         md5(length(role_) || ':' || role_ || text_) AS key, len(regexp_extract_all(text_, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role_, coalesce(text, '') AS text_ FROM conversations WHERE conv_id IS NOT NULL)),
+crc AS (
+  SELECT conv_id, 1 AS step, (4294967295::BIGINT) AS c FROM (SELECT DISTINCT conv_id FROM t)
+  UNION ALL
+  SELECT conv_id, step + 1,
+         list_reduce(list_prepend(xor(c, ascii(substr(conv_id::VARCHAR, step, 1))::BIGINT), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                     lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)
+  FROM crc WHERE step <= length(conv_id::VARCHAR)),
+h AS (SELECT conv_id, xor(arg_max(c, step), 4294967295) % 4 AS h FROM crc GROUP BY conv_id),
+turns AS (
+  SELECT h.conv_id, t.k, t.key, t.words FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 20 AND t.k <= h.h
+  UNION ALL
+  SELECT h.conv_id, t.k + 1000000, t.key, t.words FROM h JOIN t ON t.conv_id = h.conv_id AND t.k > h.h),
+seqs AS (SELECT h.conv_id, coalesce(list(turns.key ORDER BY k) FILTER (key IS NOT NULL), []) AS s, coalesce(list(turns.words ORDER BY k) FILTER (key IS NOT NULL), []) AS w
+         FROM h LEFT JOIN turns USING (conv_id) GROUP BY h.conv_id),
+prefixes AS (SELECT conv_id, d, list_slice(s, 1, d) AS p, CASE WHEN d = 0 THEN 0 ELSE w[d] END AS words, len(s) = d AS ends
+             FROM (SELECT conv_id, s, w, unnest(range(len(s) + 1)) AS d FROM seqs)),
+nodes AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n, min(words) AS words,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM prefixes GROUP BY p, d),
+kids AS (SELECT list_slice(p, 1, d - 1) AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+full_ AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids ON nodes.p = kids.p),
+below AS (SELECT list_slice(p, 1, a) AS p, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n - 1) * words) AS saved
+          FROM (SELECT *, unnest(range(d + 1)) AS a FROM full_) GROUP BY 1)
+SELECT f.conv_id, f.d AS depth, u.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children::BIGINT AS n_children,
+       b.n_leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM full_ f JOIN below b ON f.p = b.p LEFT JOIN nodes u ON f.d > 0 AND u.p = list_slice(f.p, 1, f.d - 1)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_edited_token_counts": op1_edited_token_counts,
@@ -95,9 +134,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_factorisation_quality": op8_factorisation_quality,
         "op9_pareto_mixing": op9_pareto_mixing,
         "op10_bm25_decontamination": op10_bm25_decontamination,
+        "op12_conversation_trie": op12_conversation_trie,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_pareto_mixing": OP9_SQL}
+    return {"op9_pareto_mixing": OP9_SQL, "op12_conversation_trie": OP12_SQL}
