@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiflow.llm import ann, decontam, html, lines, minhash, mixing, periodic, pii, prefix_trie, quality, sharding, tokens
+from kpiflow.llm import ann, decontam, fingerprints, html, lines, minhash, mixing, periodic, pii, prefix_trie, quality, sharding, tokens
 from kpiflow.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op10_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op11_lookup_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_digest(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_nodes(prefix_trie.branched(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
 
@@ -134,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_factorisation_quality": op8_factorisation_quality,
         "op9_pareto_mixing": op9_pareto_mixing,
         "op10_bm25_decontamination": op10_bm25_decontamination,
+        "op11_lookup_sketches": op11_lookup_sketches,
         "op12_conversation_trie": op12_conversation_trie,
         "op13_periodic_runs": op13_periodic_runs,
     }
