@@ -17,9 +17,10 @@ connected components of the links.
    registers that agree by chance, with a margin of ``MARGIN`` standard errors, then the
    full sets.
 4. Where a bucket still holds several components, its nodes outside the largest one
-   are compared with all nodes of the bucket, in blocks of ``BLOCK`` by ``BLOCK``, on full
-   sets inside the task, which returns no more links than nodes. Every pair that
-   shares a band is thus in one component or compared exactly, without pairs being
+   are compared with all nodes of the bucket, in blocks of ``BLOCK`` by ``BLOCK``: a pair only in the
+   first band that it shares, by its estimate first and then on full sets inside the
+   task, which returns no more links than nodes. Every pair that
+   shares a band is thus in one component or compared, without pairs being
    listed. At 32 bands of 5 a pair at 0.85 shares none with probability 7e-9.
 
 Defined results: null, empty or blank text has 0 shingles and is linked with nothing;
@@ -47,7 +48,9 @@ SHINGLE = 5
 BUCKETS, BAND = 160, 5
 MANTISSA = 10
 MARGIN = 5.0
-BLOCK = 256
+BLOCK = 512
+#: Tasks that the join of one bucket with its head is dealt to.
+SALT = 8
 #: Link when SHARE[0] * intersection >= SHARE[1] * union.
 SHARE = (100, 85)
 
@@ -174,10 +177,10 @@ def text_key(text: Column) -> Column:
 
 
 def bands(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, n) for every band of every node."""
+    """(bucket, band, node, n) for every band of every node."""
     width = 2 * BAND
     keys = [F.xxhash64(F.lit(i), F.substring(F.col("sketch"), i * width + 1, width)) for i in range(BUCKETS // BAND)]
-    return nodes.select("node", "n", F.explode(F.array(*keys)).alias("bucket"))
+    return nodes.select("node", "n", F.posexplode(F.array(*keys)).alias("band", "bucket"))
 
 
 def _estimated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -208,19 +211,25 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Links between the probes and the rest of a block that join its components; a spanning forest of them."""
+    """Links between the probes and the rest of a block that join its components; a spanning forest of them.
+
+    A pair is compared in its first common band only, and of two probes once.
+    """
     hashes = _WordHashes()
     pdf = pdf.drop_duplicates(["node", "probe"])
-    sets = [shingle_set(words_of(t), hashes) for t in pdf["text"]]
-    nodes, label, probe = pdf["node"].tolist(), pdf["label"].tolist(), pdf["probe"].to_numpy()
-    size = np.array([len(s) for s in sets])
+    band, nodes, label = int(pdf["band"].iloc[0]), pdf["node"].tolist(), pdf["label"].tolist()
+    probe, outside, size = pdf["probe"].to_numpy(), pdf["outside"].to_numpy(), pdf["n"].to_numpy()
     rest, probes = np.flatnonzero(~probe), np.flatnonzero(probe)
     if not len(rest) or not len(probes):
         return pd.DataFrame({"a": [], "b": []})
-    flat = np.concatenate([sets[i] for i in rest])
-    owner = np.repeat(rest, size[rest])
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
+    regs = np.frombuffer(b"".join(pdf["sketch"]), np.uint16).reshape(len(pdf), BUCKETS)
+    earlier = (_mix(regs.reshape(len(pdf), -1, BAND) + np.uint64(1)) * _STEPS[:BAND]).sum(axis=2)[:, :band]
+    rank = pd.Series(nodes).rank(method="dense").to_numpy()
+    rest_regs, rest_earlier = regs[rest], earlier[rest]
+    least, most = SHARE[1] * np.maximum.outer(size[probes], size[rest]), SHARE[0] * np.minimum.outer(size[probes], size[rest])
+    fits = most >= least
+    sets: dict[int, np.ndarray] = {}
+    texts = pdf["text"].tolist()
     root = {x: x for x in label}
 
     def find(x):
@@ -229,16 +238,27 @@ def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
             x = root[x]
         return x
 
+    def full(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_set(words_of(texts[i]), hashes)
+        return sets[i]
+
     a, b = [], []
-    for p in probes:
-        lo, hi = np.searchsorted(flat, sets[p], "left"), np.searchsorted(flat, sets[p], "right")
-        runs = hi - lo
-        at = np.repeat(lo - np.concatenate(([0], np.cumsum(runs)[:-1])), runs) + np.arange(runs.sum())
-        inter = np.bincount(owner[at], minlength=len(sets))
-        for q in rest[_linked(inter, size[p], size)[rest]]:
-            x, y = find(label[p]), find(label[q])
-            if x != y:
-                root[x] = y
+    for k, p in enumerate(probes):
+        open_ = fits[k] & ~(outside[rest] & (rank[rest] <= rank[p]))
+        open_[open_] = ~(rest_earlier[open_] == earlier[p]).any(axis=1)
+        near = np.flatnonzero(open_)
+        if len(near):
+            n = np.full(len(near), size[p])
+            near = near[jaccard_estimate(rest_regs[near], regs[p][None, :], size[rest[near]], n) >= estimate_floor(size[rest[near]], n)]
+        mine = find(label[p])
+        for q in rest[near]:
+            if (other := find(label[q])) == mine:
+                continue
+            inter = len(np.intersect1d(full(p), full(q), assume_unique=True))
+            if _linked(inter, size[p], size[q]):
+                root[mine] = other
+                mine = other
                 a.append(nodes[p])
                 b.append(nodes[q])
     return pd.DataFrame({"a": a, "b": b})
@@ -252,7 +272,8 @@ def near_components(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -
     banded = bands(nodes)
     heads = banded.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("head"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     heads = cut(heads.select("bucket", F.col("head.node").alias("a"), F.col("head.n").alias("na"), "m"))
-    shared = cut(banded.join(heads, "bucket").select("bucket", "node", "n", "a", "na", "m"))
+    salted = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    shared = cut(banded.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALT)).cast("int")).join(salted, ["bucket", "salt"]).select("bucket", "band", "node", "n", "a", "na", "m"))
     close = F.lit(SHARE[0]) * F.least("na", "n") >= F.lit(SHARE[1]) * F.greatest("na", "n")
     pairs = shared.filter("node <> a").filter(close).select("a", F.col("node").alias("b")).distinct()
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
@@ -265,16 +286,18 @@ def near_components(nodes: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -
     labels = cut(connected_components(links))
 
     # buckets that still hold several components
-    left = shared.filter("m > 2").join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label"))
+    left = cut(shared.filter("m > 2").join(labels, "node", "left").select("bucket", "band", "node", "n", F.coalesce("component", "node").alias("label")))
     by_label = left.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"))
     open_ = by_label.groupBy("bucket").agg(F.sum("c").alias("m"), F.max(F.struct("c", "label")).alias("top"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-    open_ = open_.select("bucket", F.col("top.label").alias("top"), F.ceil(F.col("m") / BLOCK).alias("rows"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK).alias("cols"))
-    left = left.join(open_, "bucket")
+    open_ = cut(open_.select("bucket", F.col("top.label").alias("top"), F.ceil(F.col("m") / BLOCK).alias("rows"), F.ceil((F.col("m") - F.col("top.c")) / BLOCK).alias("cols")))
+    open_ = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     h = F.xxhash64("node")
+    left = left.withColumn("salt", F.pmod(h, F.lit(SALT)).cast("int")).join(open_, ["bucket", "salt"]).withColumn("outside", F.col("label") != F.col("top"))
     upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    rest = left.select("bucket", "node", "label", F.lit(False).alias("probe"), F.pmod(h, F.col("rows")).alias("i"), upto("cols").alias("j"))
-    probes = left.filter("label <> top").select("bucket", "node", "label", F.lit(True).alias("probe"), upto("rows").alias("i"), F.pmod(h, F.col("cols")).alias("j"))
-    block = rest.unionByName(probes).join(texts, "node")
+    own = ["bucket", "band", "node", "n", "label", "outside"]
+    rest = left.select(*own, F.lit(False).alias("probe"), F.pmod(h, F.col("rows")).alias("i"), upto("cols").alias("j"))
+    probes = left.filter("outside").select(*own, F.lit(True).alias("probe"), upto("rows").alias("i"), F.pmod(h, F.col("cols")).alias("j"))
+    block = rest.unionByName(probes).join(texts.join(nodes.select("node", "sketch"), "node"), "node")
     more = block.groupBy("bucket", "i", "j").applyInPandas(_block_links, "a binary, b binary")
     more = cut(more.distinct())
     known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
