@@ -380,6 +380,10 @@ def q_alerts_stream_live(spark, sf_dir):
     return _live(spark, sf_dir, "quality_alerts")
 
 
+def q_last_touch_stream_live(spark, sf_dir):
+    return _live(spark, sf_dir, "last_touch").select("order_id", "event_id", "event_time", "session_id", "channel", "order_status", "order_value")
+
+
 def q_approx_sessions(spark, sf_dir):
     """A5: the streaming flavour of the KPI distincts (HLL) on the batch silver, as flags against exact counts."""
     s = _silver(spark, sf_dir)
@@ -399,6 +403,7 @@ STREAM_QUERIES = {
     "campaign_stream_live": q_campaign_stream_live,
     "drift_stream_live": q_drift_stream_live,
     "alerts_stream_live": q_alerts_stream_live,
+    "last_touch_stream_live": q_last_touch_stream_live,
     "approx_sessions": q_approx_sessions,
 }
 

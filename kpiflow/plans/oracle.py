@@ -511,7 +511,8 @@ FROM t GROUP BY source_name"""
     q["kpis_stream_live"] = q["realtime_kpis"]
     q["campaign_stream_live"] = q["campaign_sliding"]
     q["drift_stream_live"] = q["channel_drift"]
-    q["alerts_stream_live"] = f"SELECT * FROM ({q['quality_alerts']}) WHERE entity_name = 'joined_stream'"
+    q["alerts_stream_live"] = q["quality_alerts"]
+    q["last_touch_stream_live"] = q["attribution_last_touch"]
     # HLL counts differ from engine to engine: the Spark side compares them with its exact counts, which are compared here.
     q["approx_sessions"] = sv + """
 SELECT time_bucket(INTERVAL 1 MINUTE, event_time) AS window_start, time_bucket(INTERVAL 1 MINUTE, event_time) + INTERVAL 1 MINUTE AS window_end,

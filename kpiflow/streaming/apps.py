@@ -23,6 +23,7 @@ from kpiflow.streaming.jobs import (
     bronze_queries,
     final_kpis_stream,
     live_query,
+    quarantine_schema,
     silver_stream,
     streaming_session_conf,
 )
@@ -86,7 +87,8 @@ def start_silver_gold(
         )
 
     if live:
-        queries.append(live_query(*bronze(), spark, paths, trigger, src, settings))
+        rejected = read_table_stream(spark, src.table("quarantine"), quarantine_schema(spark))
+        queries.append(live_query(*bronze(), spark, paths, trigger, src, settings, rejected))
     if final:
         queries.append(
             append_sink(final_kpis_stream(silver_stream(*bronze(), settings), settings), paths.table("realtime_kpis_final"),

@@ -109,13 +109,16 @@ def test_live_path_spans_days(spark, sf_small):
     assert _kpi_cols(batch_kpis).exceptAll(_kpi_cols(live)).count() == 0
 
     tables = ("realtime_kpis", "campaign_sliding", "silver_session_attribution")
-    first = {t: sorted(map(repr, spark.read.parquet(ws.table(t)).collect())) for t in tables}
-    some = spark.read.parquet(ws.table("bronze_clickstream")).select("event_time", "source_name").orderBy("event_time").limit(10)
-    jobs.live_batch_writer(spark, ws)(some, 0)  # a micro-batch that runs again after a crash
+    first = {t: sorted(map(repr, replay.live_table(spark, ws, t).collect())) for t in tables}
+    from kpiflow.schemas import CLICKS, ORDERS
+
+    some = [spark.read.schema(replay.bronze_schema(spark, e)).parquet(ws.table(t)).orderBy("event_time").limit(10) for e, t in ((CLICKS, "bronze_clickstream"), (ORDERS, "bronze_orders"))]
+    for batch_id in (0, 1):  # a micro-batch that runs again after a crash, and the same rows once more in a later one
+        jobs.live_batch_writer(spark, ws)(jobs.id_ledger(*some), batch_id)
     for t, rows in first.items():
-        assert rows == sorted(map(repr, spark.read.parquet(ws.table(t)).collect())), t
+        assert rows == sorted(map(repr, replay.live_table(spark, ws, t).collect())), t
     # NULL campaign keys (direct traffic) do not multiply on replay.
-    camp = spark.read.parquet(ws.table("campaign_sliding"))
+    camp = replay.live_table(spark, ws, "campaign_sliding")
     keys = ["window_start", "campaign_id", "channel"]
     assert camp.filter("campaign_id IS NULL").count() > 0
     assert camp.count() == camp.select(*keys).distinct().count()
