@@ -355,12 +355,14 @@ def q_kpis_stream_append(spark, sf_dir):
 
 #: Bronze files of one micro-batch of the live replays, so that they run in several.
 LIVE_FILES_PER_TRIGGER = 8
+#: Landing table of the live replays: with ids that are sent again two hours later, at another event time.
+LIVE_PROFILE = "resent"
 
 
 def _live(spark, sf_dir, name):
     from kpiflow.streaming.replay import live_table, replay_live
 
-    ws = _memo("live", spark, sf_dir, lambda: replay_live(spark, envelope_path(spark, sf_dir, PROFILE), LIVE_FILES_PER_TRIGGER))
+    ws = _memo("live", spark, sf_dir, lambda: replay_live(spark, envelope_path(spark, sf_dir, LIVE_PROFILE), LIVE_FILES_PER_TRIGGER))
     return live_table(spark, ws, name)
 
 

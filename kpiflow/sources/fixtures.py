@@ -45,7 +45,8 @@ VERSION_BY_FAULT = {
     "bad_type": '"x"', "version_text": '"1"', "version_fraction": "1.5", "version_boolean": "true", "key_twice": '"x","schema_version":1',
 }
 
-PROFILES = ("sparse", "dense")
+PROFILES = ("sparse", "dense", "resent")  # resent: dense, and ids that come again with another payload
+RESENT_AFTER = "INTERVAL 2 HOURS"
 
 
 def _pick(index: Column, values: list) -> Column:
@@ -78,7 +79,7 @@ def event_rows(events: DataFrame, profile: str = "dense") -> DataFrame:
     m = F.col("event_id")
     u = F.col("user_id")
     ts = F.col("ts").cast("timestamp")
-    if profile == "dense":
+    if profile != "sparse":
         micros = F.lit(DENSE_T0_MICROS) + F.floor((F.unix_micros(ts) - F.lit(DENSE_T0_MICROS)) / DENSE_FACTOR)
         etime = F.timestamp_micros(micros.cast("long"))
     else:
@@ -198,19 +199,23 @@ def envelope(events: DataFrame, profile: str = "dense") -> DataFrame:
     """Kafka-style envelope of both topics, with replays, delays and faults."""
     m = F.col("m")
     fault = F.col("fault")
+    rows = event_rows(events, profile).withColumn("fault", _fault(m))
+    # m % 60 == 37: the producer sends the id again two hours later, at another event time and with another status
+    moved = (m % 60 == 37) & (fault == "none") if profile == "resent" else F.lit(False)
+    rows = rows.withColumn("moved", F.explode(F.when(moved, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
     staged = (
-        event_rows(events, profile)
-        .withColumn("fault", _fault(m))
+        rows.withColumn("etime", F.when(F.col("moved"), F.col("etime") + F.expr(RESENT_AFTER)).otherwise(F.col("etime")))
+        .withColumn("status", F.when(~F.col("moved"), F.col("status")).when(F.col("status") == "captured", "refunded").otherwise("captured"))
         .withColumn("_body", _json_body(fault))
         .withColumn("_full", _with_version(F.col("_body"), fault))
     )
     base = staged.select(
         "source_name", "m", "partition", F.col("session_id").alias("key"),
-        _payload_text(F.col("_full"), fault).alias("value"), "etime",
+        _payload_text(F.col("_full"), fault).alias("value"), "etime", "moved",
     )
     # m % 50 == 9: the producer re-sends the row 300 s later (identical payload).
-    replay = F.explode(F.when(m % 50 == 9, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    delay_s = (m % 120) + F.col("replay") * 300 + F.when(m % 300 == 77, F.lit(7200)).otherwise(F.lit(0))
+    replay = F.explode(F.when(F.col("moved"), F.array(F.lit(2))).when(m % 50 == 9, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    delay_s = (m % 120) + F.when(F.col("replay") == 1, F.lit(300)).otherwise(F.lit(0)) + F.when(m % 300 == 77, F.lit(7200)).otherwise(F.lit(0))
     sent = base.withColumn("replay", replay).withColumn(
         "timestamp", F.timestamp_micros(F.unix_micros(F.col("etime")) + delay_s * 1_000_000)
     )

@@ -21,6 +21,7 @@ from kpiflow.sources.kafka import KafkaSecurity, read_kafka_stream
 from kpiflow.streaming.jobs import (
     Paths,
     bronze_queries,
+    bronze_schema,
     final_kpis_stream,
     live_query,
     quarantine_schema,
@@ -73,8 +74,6 @@ def start_silver_gold(
     stream of KPIs (HLL distincts) whose rows never change once written, and
     which late rows do not reach.
     """
-    from kpiflow.streaming.replay import bronze_schema
-
     ensure_utc(spark)
     streaming_session_conf(spark, settings)
     src = bronze_paths or paths
