@@ -57,6 +57,14 @@ def _fits(field: StructField, value: Column) -> Column:
     return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
 
 
+def clean_shape(entity: Entity) -> str:
+    """A pattern of ``schema_of_variant`` texts: an object that holds fields of the entity only, each with its own JSON type or null."""
+    number = r"(?:BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
+    kinds = {f.name: "STRING" if isinstance(f.dataType, StringType) else "BIGINT" if isinstance(f.dataType, IntegerType) else number for f in entity.schema.fields}
+    # the fields of a variant object come in the order of their names
+    return "^OBJECT<" + "".join(rf"(?:{name}: (?:{kinds[name]}|VOID)(?:, |>$))?" for name in sorted(kinds)) + "$"
+
+
 def parse_payload(env: DataFrame, entity: Entity, field_list: bool = False) -> DataFrame:
     """Typed payload fields next to the payload and kafka_* lineage.
 
@@ -70,11 +78,16 @@ def parse_payload(env: DataFrame, entity: Entity, field_list: bool = False) -> D
     All parse outputs are produced by one single-row ``inline`` generator over
     the Variant. Filters on derived columns (the route) cannot be pushed below
     a Generate, so the optimizer cannot copy the parse into every predicate:
-    each payload is parsed exactly once.
+    each payload is parsed exactly once. Field types are looked at one by one only in objects
+    whose shape as a whole is not the clean one.
     """
     ensure_utc(env.sparkSession)
-    with_variant = env.withColumn("_v", F.expr("try_parse_json(payload)"))
-    parse_failed = ~F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
+    with_variant = env.withColumn("_v", F.expr("try_parse_json(payload)")).withColumn("_shape", F.schema_of_variant("_v"))
+    parse_failed = ~F.coalesce(F.col("_shape").startswith("OBJECT"), F.lit(False))
+    clean = F.col("_shape").rlike(clean_shape(entity))
+    for f in entity.schema.fields:
+        if isinstance(f.dataType, IntegerType):  # the shape does not tell the size of a number
+            clean = clean & (~F.col("_shape").contains(f"{f.name}: BIGINT") | F.try_variant_get("_v", f"$.{f.name}", "int").isNotNull())
     bits = F.lit(0).cast("long")
     for i, f in enumerate(entity.schema.fields):
         value = F.variant_get("_v", f"$.{f.name}", "variant")
@@ -83,7 +96,7 @@ def parse_payload(env: DataFrame, entity: Entity, field_list: bool = False) -> D
     outputs = [
         parse_failed.alias("parse_failed"),
         F.expr(f"try_variant_get(_v, '$', '{_ddl(entity)}')").alias("_j"),
-        F.when(parse_failed, F.lit(0).cast("long")).otherwise(bits).alias("mismatch_bits"),
+        F.when(parse_failed | clean, F.lit(0).cast("long")).otherwise(bits).alias("mismatch_bits"),
     ]
     parsed = with_variant.select("payload", *KAFKA_COLS, F.inline(F.array(F.struct(*outputs))))
     fields = [F.when(~mismatched(entity, n), F.col(f"_j.{n}")).alias(n) for n in entity.fields]

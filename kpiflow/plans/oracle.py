@@ -99,15 +99,20 @@ fx AS (
   FROM sent
 )"""
 
-#: The landing table of the live replays: m % 60 = 37 comes again two hours later, at another event time and with another status.
-FIXTURE_RESENT = FIXTURE.replace("""  SELECT f2.*, r.replay,
+
+
+def resent(sql: str) -> str:
+    """The same query over the landing table of the live replays: m % 60 = 37 comes again two hours later, at another event time and with another status."""
+    changed = sql.replace("""  SELECT f2.*, r.replay,
     etime + to_microseconds(CAST(m % 120 + r.replay * 300 +""", """  SELECT f2.* REPLACE (
       CASE WHEN r.replay = 2 THEN event_time + INTERVAL 2 HOUR ELSE event_time END AS event_time,
       CASE WHEN r.replay < 2 THEN status WHEN status = 'captured' THEN 'refunded' ELSE 'captured' END AS status), r.replay,
     etime + CASE WHEN r.replay = 2 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END
-      + to_microseconds(CAST(m % 120 + CASE WHEN r.replay = 1 THEN 300 ELSE 0 END +""").replace(
-    "unnest([0, 1]) AS replay) r\n  WHERE r.replay = 0 OR m % 50 = 9",
-    "unnest([0, 1, 2]) AS replay) r\n  WHERE r.replay = 0 OR r.replay = 1 AND m % 50 = 9 OR r.replay = 2 AND m % 60 = 37 AND fault = 'none'")
+      + to_microseconds(CAST(m % 120 + CASE WHEN r.replay = 1 THEN 300 ELSE 0 END +""")
+    return changed.replace(
+        "unnest([0, 1]) AS replay) r\n  WHERE r.replay = 0 OR m % 50 = 9",
+        "unnest([0, 1, 2]) AS replay) r\n  WHERE r.replay = 0 OR r.replay = 1 AND m % 50 = 9 OR r.replay = 2 AND m % 60 = 37 AND fault = 'none'")
+
 
 INTENT = """CASE WHEN {ov} IS NOT NULL AND NOT isnan({ov}) AND {ov} <> 0
        THEN least(CAST(1.0 AS DOUBLE), {base} + least({ov} / 500.0, CAST(0.2 AS DOUBLE)))
@@ -522,7 +527,7 @@ FROM t GROUP BY source_name"""
     q["campaign_stream_live"] = q["campaign_sliding"]
     q["drift_stream_live"] = q["channel_drift"]
     # ids sent again change no deduplicated table, but the quality metrics of bronze see their rows
-    q["alerts_stream_live"] = q["quality_alerts"].replace(FIXTURE, FIXTURE_RESENT)
+    q["alerts_stream_live"] = resent(q["quality_alerts"])
     q["last_touch_stream_live"] = q["attribution_last_touch"]
     # HLL counts differ from engine to engine: the Spark side compares them with its exact counts, which are compared here.
     q["approx_sessions"] = sv + """
