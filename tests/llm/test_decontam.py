@@ -48,6 +48,35 @@ def test_against_full_search(spark, wide_docs):
     assert {(r.doc_id, r.item_id) for r in pieces.collect()} == want
 
 
+def test_other_items_have_no_say(spark):
+    """A question 300 words before its answer is found with and without a much longer item beside it, and whatever the pieces."""
+    asked, answer = prose(5500, 30), "the old town by the river"
+    item = f"{asked}\nAnswer: {answer}"
+    docs = spark.createDataFrame([(1, f"{prose(1, 80)} {asked} {prose(2, 300)} {answer}"), (2, f"{prose(3, 80)} {asked} {prose(4, 30)}"), (3, prose(5, 400))], "doc_id bigint, text string")
+    long_item = prose(6600, 600)
+    for rows in ([(1, item)], [(1, item), (2, long_item)], [(1, item), *[(10 + i, prose(7000 + i, 20 + 9 * i)) for i in range(60)]]):
+        its = spark.createDataFrame(rows, "item_id bigint, text string")
+        for words in (D.PIECE_WORDS, 200):
+            assert [(r.doc_id, r.item_id) for r in D.hits(docs, its, piece_words=words).collect()] == [(1, 1)]
+
+
+def test_no_answer_without_a_mark(spark):
+    lines = [prose(5600 + i, 25) for i in range(4)]
+    its = spark.createDataFrame([(1, "\n".join([*lines, prose(5700, 8)]))], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, " ".join([prose(1, 50), *lines, prose(2, 50)])), (2, lines[0])], "doc_id bigint, text string")
+    assert [(r.doc_id, r.item_id) for r in D.hits(docs, its).collect()] == [(1, 1)]
+
+
+def test_a_rare_word_that_is_missing_loses_no_item(spark):
+    """Nine tenths of an item's weight lie on one word; the item without that word is still retrieved."""
+    common = "the cat and a dog ran over the hill to see what was on the other side of the river before the sun went down".split()
+    rows = [(i, " ".join(common[i % 5 :] + common[: i % 5])) for i in range(50)]
+    rows.append((99, " ".join([*common, "xylograph"])))
+    its = spark.createDataFrame(rows, "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, " ".join(common))], "doc_id bigint, text string")
+    assert 99 in {r.item_id for r in D.hits(docs, its).collect()}
+
+
 def test_decontaminated_rows(spark, wide_docs, no_docs):
     its = items(spark)
     docs = wide_docs.limit(5).unionByName(wide_docs.limit(1).selectExpr(*["7000L as doc_id", f"'{prose(5003, 33)} {prose(6003, 6)}' as text", *[f"`{c}`" for c in wide_docs.columns[2:]]]))
