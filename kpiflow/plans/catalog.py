@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, TimestampType
 
 from kpiflow.functions import rules
-from kpiflow.operators import attribution, dedupe, drift, ingest, kpis, ops, quality, serving, summary
+from kpiflow.operators import attribution, dedupe, drift, ingest, kpis, ops, quality, serving, sketches, summary
 from kpiflow.plans import batch
 from kpiflow.schemas import CLICKS, ORDERS
 from kpiflow.session import checkpoint_root, ensure_utc
@@ -399,6 +399,50 @@ def q_approx_sessions(spark, sf_dir):
                           _within("approx_sessions", "sessions", rsd).alias("sessions_close"), _within("approx_orders", "orders", rsd).alias("orders_close"))
 
 
+def _stored_minutes(spark, sf_dir, name, build) -> DataFrame:
+    """A table of minute sketches as a rollup finds it: written once, then only read."""
+    def write() -> str:
+        path = f"{checkpoint_root(spark)}/kpiflow-gold/{name}-{uuid.uuid4().hex}"
+        build().write.parquet(path)
+        return path
+
+    return spark.read.parquet(_memo(f"minutes {name}", spark, sf_dir, write))
+
+
+def q_session_rollup(spark, sf_dir):
+    """A5/A1: sessions per hour and channel, and per hour over all channels, from minute sketches; as flags against exact counts."""
+    silver = _silver(spark, sf_dir)
+    minutes = _stored_minutes(spark, sf_dir, "session_minutes", lambda: sketches.session_minutes(silver))
+    hour = F.date_trunc("hour", "event_time").alias("window_start")
+    parts = []
+    for dimensions in (["channel"], []):
+        exact = silver.groupBy(hour, *dimensions).agg(
+            F.count_distinct("session_id").alias("sessions"), F.count_distinct(F.when(F.col("order_status") == "captured", F.col("session_id"))).alias("buyers"))
+        exact = exact.select(F.col("window_start").alias("w"), *[F.col(d).alias(f"x_{d}") for d in dimensions], "sessions", "buyers")
+        on = F.col("window_start") == F.col("w")
+        for d in dimensions:
+            on = on & F.col(d).eqNullSafe(F.col(f"x_{d}"))
+        channel = F.col("channel") if dimensions else F.lit("(all)")
+        parts.append(sketches.session_rollup(minutes, "hour", dimensions).join(exact, on, "left").select(
+            "window_start", channel.alias("channel"), "events_total", "sessions", F.col("buyers").alias("buying"),
+            _within("sessions_total", "sessions", sketches.THETA_ERROR).alias("sessions_close"), _within("buying_sessions", "buyers", sketches.THETA_ERROR).alias("buying_close")))
+    return parts[0].unionByName(parts[1])
+
+
+def q_lag_rollup(spark, sf_dir):
+    """Hourly lag quantiles merged from minute sketches; a flag tells whether the exact rank of the 95th percentile is within the sketch's error."""
+    arr = _arrivals(spark, sf_dir)
+    minutes = _stored_minutes(spark, sf_dir, "lag_minutes", lambda: sketches.lag_minutes(arr))
+    rolled = sketches.lag_rollup(minutes, "hour")
+    lag = (F.unix_micros("kafka_ingest_time") - F.unix_micros("event_time")) / 1e6
+    rows = arr.filter("event_time is not null").select(F.col("source_name").alias("s"), F.date_trunc("hour", "event_time").alias("h"), lag.alias("x"))
+    ranked = rows.join(rolled, (F.col("s") == F.col("source_name")) & (F.col("h") == F.col("window_start")))
+    share = ranked.groupBy("source_name", "window_start", "records", "max_lag_seconds").agg(
+        F.avg((F.col("x") < F.col("p95_lag_seconds")).cast("double")).alias("below"), F.avg((F.col("x") <= F.col("p95_lag_seconds")).cast("double")).alias("upto"))
+    error = 3 * sketches.RANK_ERROR
+    return share.select("source_name", "window_start", "records", "max_lag_seconds", ((F.col("below") <= 0.95 + error) & (F.col("upto") >= 0.95 - error)).alias("p95_close"))
+
+
 STREAM_QUERIES = {
     "kpis_stream_append": q_kpis_stream_append,
     "kpis_stream_live": q_kpis_stream_live,
@@ -407,6 +451,8 @@ STREAM_QUERIES = {
     "alerts_stream_live": q_alerts_stream_live,
     "last_touch_stream_live": q_last_touch_stream_live,
     "approx_sessions": q_approx_sessions,
+    "session_rollup": q_session_rollup,
+    "lag_rollup": q_lag_rollup,
 }
 
 

@@ -527,6 +527,15 @@ FROM t GROUP BY source_name"""
     q["campaign_stream_live"] = q["campaign_sliding"]
     q["drift_stream_live"] = q["channel_drift"]
     # ids sent again change no deduplicated table, but the quality metrics of bronze see their rows
+    q["session_rollup"] = _with(FIXTURE, SILVER) + """
+, h AS (SELECT date_trunc('hour', event_time) AS window_start, channel, session_id, CASE WHEN order_status = 'captured' THEN session_id END AS buyer FROM silver)
+SELECT window_start, channel, count(*) AS events_total, count(DISTINCT session_id) AS sessions, count(DISTINCT buyer) AS buying, TRUE AS sessions_close, TRUE AS buying_close FROM h GROUP BY 1, 2
+UNION ALL
+SELECT window_start, '(all)', count(*), count(DISTINCT session_id), count(DISTINCT buyer), TRUE, TRUE FROM h GROUP BY 1"""
+    q["lag_rollup"] = _with(FIXTURE, ARR) + f"""
+SELECT source_name, date_trunc('hour', event_time) AS window_start, count(*) AS records,
+  {_r("max(epoch_us(kafka_ingest_time) - epoch_us(event_time)) / 1e6", "max_lag_seconds")}, TRUE AS p95_close
+FROM arr WHERE event_time IS NOT NULL GROUP BY 1, 2"""
     q["alerts_stream_live"] = resent(q["quality_alerts"])
     q["last_touch_stream_live"] = q["attribution_last_touch"]
     # HLL counts differ from engine to engine: the Spark side compares them with its exact counts, which are compared here.

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 SCHEMA = (
     "query string, batch_id bigint, trigger_time string, input_rows bigint, input_rows_per_second double, "
-    "processed_rows_per_second double, trigger_ms bigint, watermark string, state_rows bigint"
+    "processed_rows_per_second double, trigger_ms bigint, watermark string, state_rows bigint, dropped_rows bigint"
 )
 
 
@@ -28,6 +28,7 @@ class ProgressLog(StreamingQueryListener):
         self.rows.append((
             p.name or str(p.id), p.batchId, p.timestamp, p.numInputRows, float(p.inputRowsPerSecond), float(p.processedRowsPerSecond),
             p.durationMs.get("triggerExecution"), p.eventTime.get("watermark"), sum(s.numRowsTotal for s in p.stateOperators),
+            sum(s.numRowsDroppedByWatermark for s in p.stateOperators),  # M11 on the running job
         ))
 
     def onQueryIdle(self, event) -> None:
