@@ -5,8 +5,11 @@ Batch: deterministic first-seen row per id in arrival order
 lets Catalyst insert a per-partition group limit before the shuffle
 (WindowGroupLimit), so a hot id ships at most one row per map task.
 
-Stream: ``dropDuplicatesWithinWatermark`` (finding D5: plain
-``dropDuplicates`` on the id keeps its state forever).
+Stream: ``dropDuplicatesWithinWatermark`` by default (finding D5: plain
+``dropDuplicates`` on the id keeps its state forever). ``dedupe_forever`` chooses that
+state on purpose: every id once seen stays in the state store (RocksDB), so an id
+that comes again after any time is still dropped, as in batch, at the price of one key per id.
+The watermark is then declared behind the dedupe, which itself drops no late row.
 """
 
 from __future__ import annotations
@@ -36,6 +39,9 @@ def first_seen(df: DataFrame, id_col: str, keep: str = "first") -> DataFrame:
 
 
 def dedupe_stream(df: DataFrame, id_col: str, settings: Settings = DEFAULT_SETTINGS) -> DataFrame:
+    """U1/U2 on a stream; rows of one id inside a micro-batch are taken for copies of one payload."""
+    if settings.dedupe_forever:
+        return df.dropDuplicates([id_col]).withWatermark("event_time", settings.watermark_delay)
     return df.withWatermark("event_time", settings.watermark_delay).dropDuplicatesWithinWatermark([id_col])
 
 

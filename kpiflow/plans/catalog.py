@@ -386,6 +386,13 @@ def q_last_touch_stream_live(spark, sf_dir):
     return _live(spark, sf_dir, "last_touch").select("order_id", "event_id", "event_time", "session_id", "channel", "order_status", "order_value")
 
 
+def q_dedup_stream_forever(spark, sf_dir):
+    """U1 on a stream, over ids that come again two hours later: the batch dedupe's rows."""
+    from kpiflow.streaming.replay import replay_dedupe
+
+    return replay_dedupe(spark, envelope_path(spark, sf_dir, LIVE_PROFILE)).select("event_id", "event_time", "session_id", "user_id", "channel_normalized")
+
+
 def q_approx_sessions(spark, sf_dir):
     """A5: the streaming flavour of the KPI distincts (HLL) on the batch silver, as flags against exact counts."""
     s = _silver(spark, sf_dir)
@@ -451,6 +458,7 @@ STREAM_QUERIES = {
     "alerts_stream_live": q_alerts_stream_live,
     "last_touch_stream_live": q_last_touch_stream_live,
     "approx_sessions": q_approx_sessions,
+    "dedup_stream_forever": q_dedup_stream_forever,
     "session_rollup": q_session_rollup,
     "lag_rollup": q_lag_rollup,
 }

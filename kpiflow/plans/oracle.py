@@ -527,6 +527,7 @@ FROM t GROUP BY source_name"""
     q["campaign_stream_live"] = q["campaign_sliding"]
     q["drift_stream_live"] = q["channel_drift"]
     # ids sent again change no deduplicated table, but the quality metrics of bronze see their rows
+    q["dedup_stream_forever"] = f"SELECT event_id, event_time, session_id, user_id, channel_normalized FROM ({q['dedup_clicks']})"
     q["session_rollup"] = _with(FIXTURE, SILVER) + """
 , h AS (SELECT date_trunc('hour', event_time) AS window_start, channel, session_id, CASE WHEN order_status = 'captured' THEN session_id END AS buyer FROM silver)
 SELECT window_start, channel, count(*) AS events_total, count(DISTINCT session_id) AS sessions, count(DISTINCT buyer) AS buying, TRUE AS sessions_close, TRUE AS buying_close FROM h GROUP BY 1, 2

@@ -36,6 +36,8 @@ class Settings:
     null_ratio_threshold: float = 0.02
     duplicate_ratio_threshold: float = 0.005
     unknown_event_type_threshold: float = 0.001
+    # Streams: remember every id (exact, state grows with the ids) instead of those within the watermark delay.
+    dedupe_forever: bool = False
     # Gold partition granularity of the live path: each micro-batch recomputes
     # and replaces only the slots its rows touch.
     gold_slot_minutes: int = 10
