@@ -99,28 +99,40 @@ CONTRACT_RULES = {
 }
 
 
+@dataclass(frozen=True)
+class Contract:
+    """What a contract checks: fields that must be there, times that must be readable, rules on values."""
+
+    required: list[str]
+    formats: list[str]
+    rules: list[Rule]
+
+
+def contract_of(source_name: str) -> Contract:
+    """The contract in force; ``kpiflow.functions.contract`` compiles others from schema documents."""
+    return Contract(REQUIRED[source_name]["contract"], ["event_time"], CONTRACT_RULES[source_name])
+
+
 def is_missing(c: Column, blank_is_null: bool) -> Column:
     return (c.isNull() | (c.cast("string") == "")) if blank_is_null else c.isNull()
 
 
-def contract_violations(source_name: str) -> Column:
+def contract_violations(contract: Contract | str) -> Column:
     """V4: ``field:rule`` labels of broken draft-07 rules, on a parsed frame
     whose ``event_time`` is still the raw string.
 
     Order: ``field:required`` (contract order), ``field:type`` (wrong JSON
-    type, from ``mismatched_fields``), ``event_time:format``, then the value
+    type, from ``mismatched_fields``), ``field:format``, then the value
     rules. Value rules only fire on non-null values, so nullable fields pass
-    when null.
+    when null. A source name stands for its contract in force.
     """
+    if isinstance(contract, str):
+        contract = contract_of(contract)
     required = [
         F.when(F.col(c).isNull() & ~F.array_contains(F.col("mismatched_fields"), c), F.lit(f"{c}:required"))
-        for c in REQUIRED[source_name]["contract"]
+        for c in contract.required
     ]
     types = F.transform(F.col("mismatched_fields"), lambda x: F.concat(x, F.lit(":type")))
-    fmt = F.when(
-        F.col("event_time").isNotNull() & F.expr("try_to_timestamp(event_time)").isNull(), F.lit("event_time:format")
-    )
-    rules_ = [
-        F.when(F.col(r.field).isNotNull() & r.broken(), F.lit(r.label)) for r in CONTRACT_RULES[source_name]
-    ]
-    return F.array_compact(F.concat(F.array(*required), types, F.array(fmt, *rules_)))
+    formats = [F.when(F.col(c).isNotNull() & F.expr(f"try_to_timestamp(`{c}`)").isNull(), F.lit(f"{c}:format")) for c in contract.formats]
+    rules_ = [F.when(F.col(r.field).isNotNull() & r.broken(), F.lit(r.label)) for r in contract.rules]
+    return F.array_compact(F.concat(F.array(*required), types, F.array(*formats, *rules_)))
