@@ -30,7 +30,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates."""
+    """Keeps one document of each group of near-duplicates, at the operator's similarity of 0.85 (five-word shingles)."""
     return minhash.drop_near_duplicates(docs)
 
 
@@ -57,7 +57,8 @@ STAGES = [
     ("sharding", sharding_stage),
 ]
 
-#: SQL can express neither the trained classifier nor the sketches; the tests compare with brute force.
+#: SQL can express neither the trained classifier nor the sketches; tests/llm/test_pipeline.py recomputes what each
+#: stage keeps of its input by brute force (the classifier's scores in test_quality.py).
 ORACLE_SQL = None
 
 
