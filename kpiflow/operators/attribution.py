@@ -16,7 +16,7 @@ horizon + watermark); Spark requires append mode for the outer join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -32,7 +32,7 @@ RENAMED = {"channel": "channel_normalized"}
 ATTRIBUTION_COLUMNS = [*CLICK_SIDE, *ORDER_SIDE, "session_intent_score"]
 
 
-def _bucket(ts_col: str, width_minutes: int):
+def _bucket(ts_col: str, width_minutes: Column | int):
     return F.floor(F.unix_seconds(F.col(ts_col)) / (width_minutes * 60)).cast("long")
 
 
@@ -69,21 +69,39 @@ def interval_join(clicks: DataFrame, orders: DataFrame, how: str = "left", setti
             & _range_cond(h)
         )
         return clicks.alias("c").join(o.alias("o"), cond, "leftOuter" if how == "left" else how)
-    width = settings.join_bucket_minutes
-    back = -(-h // width)  # ceil(h / width)
+    clicks, o, width = _bucket_widths(clicks, o, settings)
     # a blank session or user matches nothing, and must not gather all such clicks under one key either
     blank = (F.col("session_id") == "") | (F.col("user_id") == "")
     c = clicks.withColumn("_jb", _bucket("event_time", width)).withColumn("_js", F.when(blank, F.concat(F.lit("?"), "event_id")).otherwise(F.col("session_id")))
     o = o.withColumn("_ob", _bucket("o_time", width)).withColumn(
-        "_jb", F.explode(F.sequence(F.col("_ob") - back, F.col("_ob")))
-    )
+        "_jb", F.explode(F.sequence(F.col("_ob") - F.ceil(F.lit(h) / width).cast("long"), F.col("_ob")))
+    ).drop("_width")
     cond = (
         (F.col("c._js") == F.col("o.o_session_id"))
         & (F.col("c.user_id") == F.col("o.o_user_id"))
         & (F.col("c._jb") == F.col("o._jb"))
         & _range_cond(h)
     )
-    return c.alias("c").join(o.alias("o"), cond, "left" if how == "left" else how).drop("_jb", "_ob", "_js")
+    return c.drop("_width").alias("c").join(o.alias("o"), cond, "left" if how == "left" else how).drop("_jb", "_ob", "_js")
+
+
+def _bucket_widths(clicks: DataFrame, orders: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with the bucket width of their session: hot sessions are cut into narrower pieces, so that one
+    that holds a third of all clicks is spread over many tasks, and no other order is copied more often for it.
+
+    A session is hot by its clicks alone, so both sides agree. Fewer than clicks / join_hot_clicks sessions are hot,
+    and only their keys are broadcast.
+    """
+    if not settings.join_hot_clicks:
+        return clicks, orders, F.lit(settings.join_bucket_minutes)
+    many = clicks.groupBy(F.col("session_id").alias("_hs"), F.col("user_id").alias("_hu")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > settings.join_hot_clicks)
+    hot = F.broadcast(many.select("_hs", "_hu"))
+    width = F.when(F.col("_hs").isNotNull(), F.lit(settings.join_hot_bucket_minutes)).otherwise(F.lit(settings.join_bucket_minutes)).alias("_width")
+
+    def with_width(df: DataFrame, session: str, user: str) -> DataFrame:
+        return df.join(hot, (F.col(session) == F.col("_hs")) & (F.col(user) == F.col("_hu")), "left").select(*df.columns, width)
+
+    return with_width(clicks, "session_id", "user_id"), with_width(orders, "o_session_id", "o_user_id"), F.col("_width")
 
 
 def attribution_projection(joined: DataFrame) -> DataFrame:

@@ -25,6 +25,10 @@ class Settings:
     # Orders are copied into ceil(lookback / width) + 1 buckets; narrower
     # buckets split a hot session over more tasks.
     join_bucket_minutes: int = 45
+    # Sessions with more clicks than this get buckets of their own width (0: no session does). Finding them
+    # is one more pass over the clicks' keys; at most clicks / join_hot_clicks of them are broadcast.
+    join_hot_clicks: int = 0
+    join_hot_bucket_minutes: int = 1
     trigger_interval: str = "5 seconds"
     kpi_window: str = "1 minute"
     campaign_window: str = "5 minutes"

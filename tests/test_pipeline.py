@@ -147,3 +147,25 @@ def test_resent_orders_with_another_status(spark):
     got = {k: sorted((r.order_id, r.status) for r in dedupe.clean_orders(orders, k).collect()) for k in ("first", "latest")}
     assert got["first"] == [("o1", "authorized"), ("o3", "captured"), ("o4", "captured")]  # o2 began refunded
     assert got["latest"] == [("o1", "captured"), ("o2", "captured"), ("o3", "captured")]  # o4 ended refunded
+
+
+def test_hot_sessions_get_narrow_buckets(spark):
+    """A session with a third of all clicks: the same pairs, in pieces of a minute; the orders of others are copied as before."""
+    from kpiflow.settings import Settings
+
+    base = F.unix_seconds(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    time = lambda step: F.timestamp_seconds(base + F.col("id") * step % 14_400)
+    who = F.when(F.col("id") % 3 == 0, F.lit("sess_hot")).otherwise(F.concat(F.lit("sess_"), (F.col("id") % 50).cast("string")))
+    common = lambda step: [time(step).alias("event_time"), who.alias("session_id"), F.lit("usr_a").alias("user_id")]
+    clicks = spark.range(3000).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("event_id"), *common(37))
+    clicks = clicks.unionByName(clicks.limit(1).withColumn("session_id", F.lit(None).cast("string")).withColumn("event_id", F.lit("none")))
+    orders = spark.range(400).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("order_id"), *common(91), F.lit("captured").alias("status"), F.lit(1.0).alias("order_value"), F.lit("card").alias("payment_method"))
+    pairs = lambda s: attribution.interval_join(clicks, orders, settings=s).select("event_id", "order_id")
+    plain, hot = pairs(Settings()), pairs(Settings(join_hot_clicks=500))
+    assert plain.count() == hot.count() > 5000 and plain.exceptAll(hot).count() == 0
+    assert "BroadcastHashJoin" in hot._jdf.queryExecution().executedPlan().toString()
+    c, o, width = attribution._bucket_widths(clicks, attribution._order_side(orders), Settings(join_hot_clicks=500))
+    copies = {r.o_session_id: r.b for r in o.groupBy("o_session_id").agg(F.max(F.ceil(F.lit(45) / width)).alias("b")).collect()}
+    assert copies.pop("sess_hot") == 45 and set(copies.values()) == {1}
+    piece = c.groupBy("session_id", attribution._bucket("event_time", width)).count().filter("session_id = 'sess_hot'").agg(F.max("count")).first()[0]
+    assert piece <= 10
