@@ -267,3 +267,31 @@ def test_job_entry_points_run_end_to_end(spark, sf_small):
     for table in ("silver_session_attribution", "realtime_kpis", "campaign_sliding", "quality_alerts", "drift_metrics",
                   "realtime_kpis_final"):
         assert spark.read.parquet(paths.table(table)).count() > 0, table
+
+
+def test_dedupe_replay_hands_over_an_hour_at_a_time_in_several_files(spark, monkeypatch):
+    """An hour is one micro-batch however many files it has; the landing table is written anew by all tasks, once."""
+    root = f"{checkpoint_root(spark)}/test-dedupe-{uuid.uuid4().hex[:8]}"
+    rows = []
+    for i in range(3000):
+        value, t = _click(f"evt_{i % 2500:09d}", (i % 2) * 60 + i % 50)
+        rows.append((f"k{i}", value, t + dt.timedelta(minutes=120 if i >= 2500 else 0), 0, i, "clickstream"))
+    df = spark.createDataFrame(rows, [*ENVELOPE.names, "source_name"])
+    df = df.withColumn("partition", F.col("partition").cast("int")).repartition(8)
+    df.write.partitionBy("source_name").parquet(f"{root}/landing")
+    monkeypatch.setattr(replay, "workspace", lambda *_: jobs.Paths(root))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    for k, v in zip(before, ("16k", "2")):
+        spark.conf.set(k, v)
+    try:
+        out = replay.replay_dedupe(spark, f"{root}/landing")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(r.event_id for r in out.select("event_id").collect()) == [f"evt_{i:09d}" for i in range(2500)]
+    # ids that came again two hours later keep the row that arrived first
+    assert out.filter(F.col("kafka_offset") >= 2500).count() == 0
+    chunks = sorted(d for d in os.listdir(f"{root}/arrivals") if d.startswith("chunk="))
+    files = [sum(f.endswith(".parquet") for f in os.listdir(f"{root}/arrivals/{c}")) for c in chunks]
+    assert len(chunks) == 4 and max(files) > 1
+    assert sorted(c for c in os.listdir(f"{root}/checkpoints/clean_clicks/commits") if c.isdigit()) == ["0", "1", "2", "3"]
