@@ -128,11 +128,14 @@ def flag_late_rows(arr: DataFrame, settings: Settings = DEFAULT_SETTINGS) -> Dat
     order = ["kafka_ingest_time", "kafka_partition", "kafka_offset"]
     second, minute = F.date_trunc("second", "kafka_ingest_time"), F.date_trunc("minute", "_second")
     before = Window.unboundedPreceding, -1
-    # inside a second: row by row; the join below reads the same shuffled rows again, not the input
-    in_second = Window.partitionBy("source_name", "_second").orderBy(*order).rowsBetween(*before)
-    local = arr.filter(F.col("event_time").isNotNull()).withColumn("_second", second).withColumn("_here", F.max("event_time").over(in_second))
+    # inside a second: row by row; both uses below take the same columns of it, so the shuffled rows are read again, not the input
+    in_second = Window.partitionBy("source_name", "_second").orderBy(*order)
+    known = arr.filter(F.col("event_time").isNotNull()).withColumn("_second", second)
+    known = known.filter(F.col("_second").isNotNull() & minute.isNotNull())  # what the joins ask for, on both sides alike
+    local = known.withColumn("_here", F.max("event_time").over(in_second.rowsBetween(*before)))
     # up to the second: maxima of the seconds before it in its minute, and of the minutes before
-    seconds = local.groupBy("source_name", "_second").agg(F.max("event_time").alias("_m")).withColumn("_minute", minute)
+    last = local.withColumn("_next", F.lead("_second").over(in_second)).filter("_next is null")  # knows the whole second
+    seconds = last.select("source_name", "_second", F.greatest("_here", "event_time").alias("_m")).withColumn("_minute", minute)
     in_minute = Window.partitionBy("source_name", "_minute").orderBy("_second").rowsBetween(*before)
     minutes = seconds.groupBy("source_name", "_minute").agg(F.max("_m").alias("_mm"))
     earlier = Window.partitionBy("source_name").orderBy("_minute").rowsBetween(*before)

@@ -295,3 +295,16 @@ def test_dedupe_replay_hands_over_an_hour_at_a_time_in_several_files(spark, monk
     files = [sum(f.endswith(".parquet") for f in os.listdir(f"{root}/arrivals/{c}")) for c in chunks]
     assert len(chunks) == 4 and max(files) > 1
     assert sorted(c for c in os.listdir(f"{root}/checkpoints/clean_clicks/commits") if c.isdigit()) == ["0", "1", "2", "3"]
+
+
+def test_late_rows_parse_each_payload_once(spark, sf_small):
+    """The audit reads its shuffled rows again, not the input."""
+    from kpiflow.operators import ops
+    from kpiflow.schemas import CLICKS, ORDERS
+
+    env = raw_stream_table(spark, sf_small, PROFILE)
+    late = ops.late_rows(ops.arrivals(*[batch.routed_topic(env, e) for e in (CLICKS, ORDERS)]))
+    rows = {r.source_name: r.rows_checked for r in late.collect()}
+    assert set(rows) == {"clickstream", "orders"} and min(rows.values()) > 0
+    final = late._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 2 and "ReusedExchange" in final
