@@ -65,3 +65,14 @@ def test_high_watermark_marks_idle_minutes(spark):
     got = [(r.high_watermark, r.new_offsets, r.is_active)
            for r in high_watermark(arr).orderBy("snapshot_minute").collect()]
     assert got == [(3, 3, True), (3, 0, False), (4, 1, True)]
+
+
+def test_json_texts_are_made_behind_the_shuffle_of_the_offsets(spark, sf_small):
+    """The landing table's windows sort bare events; the JSON text of a row is never shuffled."""
+    from kpiflow.sources import fixtures
+
+    for profile in fixtures.PROFILES:
+        plan = fixtures.envelope(fixtures.load_events(spark, sf_small), profile)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        texts = [i for i, line in enumerate(plan) if "StructsToJson" in line or "to_json(" in line]
+        windows = [i for i, line in enumerate(plan) if "Window [" in line]
+        assert texts and windows and max(texts) < min(windows)
