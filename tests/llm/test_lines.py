@@ -139,3 +139,35 @@ def test_texts_keep_the_rest(spark, wide_docs, no_docs):
     assert digest.count() == wide_docs.count()
     assert {r.doc_id: (r.n_lines, r.n_removed, r.removed) for r in digest.collect()}[100] == (1, 1, "0")
     assert L.line_digest(no_docs).count() == 0
+
+
+def test_no_link_is_lost_where_edits_reach_every_block(spark):
+    """A tenth of the characters changed evenly or at random, spaces as well: every similar pair shares a group."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzéä "
+    every = ["nine left", "nineleft", "ten of them", "tenofthem x"]
+    for k in range(60):
+        line = made_line(rng, rng.choice([12, 25, 33, 60, 89, 90, 99, 140, 300, 520]))
+        every.append(line)
+        most = len(line) // 10
+        for step in (10, 0, -1, 1):
+            at = range(rng.randrange(10), len(line), 10) if step == 10 else sorted(rng.sample(range(len(line)), most))
+            chars = list(line)
+            for i in list(at)[:most]:
+                chars[i] = rng.choice(letters) if step in (10, 0) or rng.random() < 0.4 else "" if step < 0 else chars[i] + rng.choice(letters)
+            every.append("".join(chars))
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(every)], "doc_id long, text string")
+    lines, groups = L.line_groups(docs)
+    rows = lines.join(groups, "key").join(docs, "doc_id").select(L.normalised(F.col("text")).alias("norm"), "group").collect()
+    group = {r.norm: r.group for r in rows}
+    pairs = list(linked_pairs(set(group)))
+    assert len(pairs) > 150
+    assert [(a, b) for a, b in pairs if group[a] != group[b]] == []
+
+
+def made_line(rng, n):
+    """n characters of words of 1 to 12 letters, first and last no space."""
+    out = ""
+    while len(out) < n:
+        out += "".join(rng.choice("aeinorst") if rng.random() < 0.6 else rng.choice("bcdfghjklmpquvwxyzé") for _ in range(rng.randint(1, 12))) + " "
+    return out[: n - 1].strip().ljust(n, "x")
