@@ -165,6 +165,22 @@ def test_no_link_is_lost_where_edits_reach_every_block(spark):
     assert [(a, b) for a, b in pairs if group[a] != group[b]] == []
 
 
+def test_places_are_not_shuffled(spark):
+    """Step 4 shuffles texts, a few rows per line, and no row per character; a class and stretch looked up in shares gives the same pairs."""
+    rng = random.Random(3)
+    rows = [(2 * i + j, made_line(rng, 120) if j == 0 else None) for i in range(40) for j in range(2)]
+    rows = [(i, t or rows[i - 1][1].replace("e", "a", 3)) for i, t in rows]
+    labelled = spark.createDataFrame([(i, t, len(t), i) for i, t in rows], "node long, t string, n int, label long")
+    with L._by_some_keys(spark):
+        met = L._candidates(labelled)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(unit" in plan
+        assert not [x for x in plan.split("\n") if "Exchange" in x and "gram" in x]
+        pairs = {tuple(sorted(r)) for r in met.distinct().collect()}
+        assert L._dealt(labelled)[0].count() <= 8 * len(rows)
+    assert pairs >= {(2 * i, 2 * i + 1) for i in range(40) if rows[2 * i][1] != rows[2 * i + 1][1]}
+
+
 def made_line(rng, n):
     """n characters of words of 1 to 12 letters, first and last no space."""
     out = ""
