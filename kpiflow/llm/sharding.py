@@ -13,8 +13,8 @@ ordered by a hash of their id in [0, 1), and the cut is found on that hash by tw
 rounds of histograms. A node is thereby cut within one ``BINS**2``-th of its bytes
 or one document, whatever the skew, and rows of one node are never gathered.
 
-What reaches the driver: one cut per node and level, at most as many rows as
-there are shards. Slots count rows inside a shard without a gap: rows are counted
+What reaches the driver: a few values per node and level, at most as many rows as
+there are shards; the next step has them in its expressions instead of broadcasts. Slots count rows inside a shard without a gap: rows are counted
 per (shard, hash range), ranges get their offsets, and rows are numbered inside
 their range only.
 
@@ -38,6 +38,8 @@ BINS = 2048
 SEED = "shard-1"
 #: Hash ranges per shard in which slots are numbered.
 SLOT_RANGES = 64
+#: Nodes up to which what was found for each is written into expressions; more are broadcast.
+LITERALS = 64
 
 
 def _text_code(c: Column) -> Column:
@@ -69,20 +71,44 @@ def _rows(docs: DataFrame, size: Column, dims: dict[str, Column], id_col: str) -
     )
 
 
-def _cuts_frame(docs: DataFrame, cuts: list[Cut]) -> DataFrame:
-    rows = [(c.node, c.dim, c.value, c.at) for c in cuts]
-    return docs.sparkSession.createDataFrame(rows, "_node bigint, _dim string, _value string, _at double")
+def _known(rows: DataFrame, found: dict[int, tuple], schema: str) -> DataFrame:
+    """Adds the columns of ``schema`` with what was found for each row's node; null where nothing was.
 
+    Few nodes are written into the expression, so that no broadcast is made of a handful of rows; of more, the table
+    has one row per node, fewer than there are shards.
+    """
+    columns = [c.split() for c in schema.split(", ")]
+    if len(found) > LITERALS:
+        table = rows.sparkSession.createDataFrame([(n, *v) for n, v in found.items()], f"_node bigint, {schema}")
+        return rows.join(F.broadcast(table), "_node", "left")
+    for k, (name, kind) in enumerate(columns):
+        pick = [F.when(F.col("_node") == n, F.lit(v[k])) for n, v in found.items()]
+        rows = rows.withColumn(name, F.coalesce(*pick, F.lit(None)).cast(kind))
+    return rows
 
-def _descend(rows: DataFrame, cuts: list[Cut], names: list[str]) -> DataFrame:
-    """One level down: node n becomes 2n (left) or 2n + 1; nodes without a cut stay.
 
-    The broadcast table has one row per node that is split, fewer than there are shards.
-    """
-    code = F.coalesce(*[F.when(F.col("_dim") == n, F.col(f"_d_{n}")) for n in names])
+def _code(names: list[str]) -> Column:
+    """The row's value in the dimension ``_dim``."""
+    return F.coalesce(*[F.when(F.col("_dim") == n, F.col(f"_d_{n}")) for n in names])
+
+
+def _descend(rows: DataFrame, cuts: list[Cut], names: list[str]) -> DataFrame:
+    """One level down: node n becomes 2n (left) or 2n + 1; nodes without a cut stay."""
+    code = _code(names)
     left = (code < F.col("_value")) | ((code == F.col("_value")) & (F.col("_u") < F.col("_at")))
     node = F.when(F.col("_dim").isNull(), F.col("_node")).otherwise(2 * F.col("_node") + F.when(left, 0).otherwise(1))
-    return rows.join(F.broadcast(_cuts_frame(rows, cuts)), "_node", "left").withColumn("_node", node).drop("_dim", "_value", "_at")
+    known = _known(rows, {c.node: (c.dim, c.value, c.at) for c in cuts}, "_dim string, _value string, _at double")
+    return known.withColumn("_node", node).drop("_dim", "_value", "_at")
+
+
+def _walked(levels: list[list[Cut]], shard_of: dict[int, int], node: int = 1) -> Column:
+    """The shard of a row as one expression of the whole tree."""
+    found = {c.node: c for cuts in levels for c in cuts}.get(node)
+    if found is None:
+        return F.lit(shard_of[node])
+    code = F.col(f"_d_{found.dim}")
+    left = (code < F.lit(found.value)) | ((code == F.lit(found.value)) & (F.col("_u") < F.lit(found.at)))
+    return F.when(left, _walked(levels, shard_of, 2 * node)).otherwise(_walked(levels, shard_of, 2 * node + 1))
 
 
 def _crossing(sums: DataFrame, by: str) -> DataFrame:
@@ -95,35 +121,35 @@ def _crossing(sums: DataFrame, by: str) -> DataFrame:
     )
 
 
-def _level_cuts(rows: DataFrame, parts: dict[int, int], names: list[str]) -> list[Cut]:
-    """The cuts of all nodes of a level that must become more than one shard."""
-    share = F.coalesce(*[F.when(F.col("_node") == n, F.lit(k // 2 / k)) for n, k in parts.items() if k > 1])
+def _level_cuts(rows: DataFrame, parts: dict[int, int], names: list[str], whole: dict[str, int]) -> list[Cut]:
+    """The cuts of all nodes of a level that must become more than one shard; ``whole``: about how many values each dimension has.
+
+    Each step finds one row per node, which the next step has in its expressions.
+    """
     here = rows.filter(F.col("_node").isin([n for n, k in parts.items() if k > 1]))
     dim = F.explode(F.array(*[F.struct(F.lit(n).alias("dim"), F.col(f"_d_{n}").alias("code")) for n in names]))
     hist = cut(
         here.select("_node", "_size", dim.alias("_x")).groupBy("_node", F.col("_x.dim").alias("_dim"), F.col("_x.code").alias("_code"))
         .agg(F.sum("_size").alias("_n"))
     )
-    whole = rows.select(*[F.approx_count_distinct(f"_d_{n}").alias(n) for n in names]).select(
-        F.explode(F.array(*[F.struct(F.lit(n).alias("_dim"), F.col(n).alias("_all")) for n in names])).alias("x")).select("x.*")
+    of_all = F.coalesce(*[F.when(F.col("_dim") == n, F.lit(m)) for n, m in whole.items()])
     widest = (
         hist.groupBy("_node", "_dim").agg(F.count(F.lit(1)).alias("_values"), F.sum("_n").alias("_bytes"))
-        .join(whole, "_dim")
-        .groupBy("_node").agg(F.max_by(F.struct("_dim", "_bytes"), F.struct((F.col("_values") - 1) / F.col("_all"), "_dim")).alias("_w"))
-        .select("_node", F.col("_w._dim").alias("_dim"), (F.col("_w._bytes") * share).alias("_want"))
+        .groupBy("_node").agg(F.max_by(F.struct("_dim", "_bytes"), F.struct((F.col("_values") - 1) / of_all, "_dim")).alias("_w"))
+        .select("_node", "_w._dim", "_w._bytes").collect()
     )
-    value = cut(_crossing(hist.join(widest, ["_node", "_dim"]), "_code").withColumnRenamed("_by", "_value").join(widest.select("_node", "_dim"), "_node"))
-    code = F.coalesce(*[F.when(F.col("_dim") == n, F.col(f"_d_{n}")) for n in names])
-    tied = here.join(value, "_node").filter(code == F.col("_value"))
+    wide = {n: (d, b * (parts[n] // 2 / parts[n])) for n, d, b in widest}
+    sums = _known(hist.withColumnRenamed("_dim", "_of"), wide, "_dim string, _want double").filter(F.col("_of") == F.col("_dim"))
+    value = {n: (wide[n][0], v, want, n_here) for n, v, want, n_here in _crossing(sums, "_code").collect()}
+    tied = _known(here, value, "_dim string, _value string, _want double, _here bigint").filter(_code(names) == F.col("_value"))
     coarse = F.floor(F.col("_u") * BINS).cast("long")
-    one = _crossing(tied.groupBy("_node", coarse.alias("_bin")).agg(F.sum("_size").alias("_n"), F.first("_want").alias("_want")), "_bin")
+    one = _crossing(tied.groupBy("_node", coarse.alias("_bin")).agg(F.sum("_size").alias("_n"), F.first("_want").alias("_want")), "_bin").collect()
     fine = F.floor(F.col("_u") * (BINS * BINS)).cast("long")
-    in_bin = tied.drop("_want", "_here").join(one, "_node").filter(coarse == F.col("_by"))
+    in_bin = _known(tied.drop("_want", "_here"), {n: tuple(rest) for n, *rest in one}, "_by bigint, _want double, _here bigint").filter(coarse == F.col("_by"))
     two = in_bin.groupBy("_node", fine.alias("_bin")).agg(F.sum("_size").alias("_n"), F.first("_want").alias("_want"))
     nearest = F.col("_by") + F.when(2 * F.col("_want") >= F.col("_here"), 1).otherwise(0)  # the side of the last bin that is nearer
-    two = _crossing(two, "_bin").select("_node", (nearest / float(BINS * BINS)).alias("_at"))
-    found = value.join(two, "_node", "left").select("_node", "_dim", "_value", F.coalesce("_at", F.lit(0.0)).alias("_at"))
-    return [Cut(*r) for r in found.collect()]
+    at = dict(tuple(r) for r in _crossing(two, "_bin").select("_node", nearest / float(BINS * BINS)).collect())
+    return [Cut(n, d, v, 0.0 if at.get(n) is None else at[n]) for n, (d, v, _, _) in value.items()]
 
 
 def kd_tree(docs: DataFrame, n_shards: int | None = 16, target_bytes: int | None = None, size: Column | None = None,
@@ -134,9 +160,10 @@ def kd_tree(docs: DataFrame, n_shards: int | None = 16, target_bytes: int | None
     rows = cut(_rows(docs, size, dims, id_col))
     if target_bytes is not None:
         n_shards = max(1, -(-(rows.agg(F.sum("_size")).first()[0] or 0) // target_bytes))
-    parts, levels = {1: n_shards}, []
+    counts = rows.agg(*[F.approx_count_distinct(f"_d_{n}") for n in dims]).first()
+    whole, parts, levels = dict(zip(dims, counts)), {1: n_shards}, []
     while any(k > 1 for k in parts.values()):
-        cuts = _level_cuts(rows, parts, list(dims))
+        cuts = _level_cuts(rows, parts, list(dims), whole)
         levels.append(cuts)
         split, after = {c.node for c in cuts}, {}
         for n, k in parts.items():
@@ -144,7 +171,8 @@ def kd_tree(docs: DataFrame, n_shards: int | None = 16, target_bytes: int | None
                 after[2 * n], after[2 * n + 1] = k // 2, k - k // 2
             else:  # a leaf, or a node without rows
                 after[n] = 1
-        rows, parts = _descend(rows, cuts, list(dims)), after
+        # narrow rows, written again so that the plan of a level holds no other
+        rows, parts = cut(_descend(rows, cuts, list(dims))) if any(k > 1 for k in after.values()) else rows, after
     return levels, {n: i for i, n in enumerate(sorted(parts, key=lambda n: f"{n:b}"))}
 
 
@@ -163,10 +191,13 @@ def kd_shard(docs: DataFrame, n_shards: int | None = 16, target_bytes: int | Non
         doc.alias("_doc"), F.col(id_col).alias("_id"), unit_hash(F.col(id_col), seed=SEED).alias("_u"),
         F.lit(1).cast("long").alias("_node"), *[c.alias(f"_d_{n}") for n, c in dims.items()],
     )
-    for cuts in levels:
-        rows = _descend(rows, cuts, list(dims))
-    leaf = docs.sparkSession.createDataFrame(list(shard_of.items()), "_node bigint, _shard int")  # one row per shard
-    rows = rows.join(F.broadcast(leaf), "_node").withColumn("_range", F.floor(F.col("_u") * SLOT_RANGES).cast("int"))
+    if len(shard_of) <= LITERALS:
+        rows = rows.withColumn("_shard", _walked(levels, shard_of))
+    else:
+        for cuts in levels:
+            rows = _descend(rows, cuts, list(dims))
+        rows = _known(rows, {n: (i,) for n, i in shard_of.items()}, "_shard int")
+    rows = rows.withColumn("_range", F.floor(F.col("_u") * SLOT_RANGES).cast("int"))
     counts = rows.groupBy("_shard", "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut(counts.select("_shard", "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))

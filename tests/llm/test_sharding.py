@@ -41,6 +41,15 @@ def test_cuts_follow_the_tree(spark, odd_docs):
     assert {r.doc_id: r.shard for r in S.kd_shard(docs, 6).collect()} == want
 
 
+def test_cuts_of_few_nodes_are_not_broadcast(wide_docs, monkeypatch):
+    """The tree stands in expressions; the one broadcast left has the slots' offsets. More nodes than LITERALS give the same shards."""
+    out = S.kd_shard(wide_docs, 16)
+    assert out._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") <= 1
+    few = {(r.doc_id, r.shard, r.slot) for r in out.select("doc_id", "shard", "slot").collect()}
+    monkeypatch.setattr(S, "LITERALS", 1)
+    assert {(r.doc_id, r.shard, r.slot) for r in S.kd_shard(wide_docs, 16).select("doc_id", "shard", "slot").collect()} == few
+
+
 def test_odd_tables(wide_docs, no_docs):
     out = S.kd_shard(wide_docs, 4)
     assert out.columns == [*wide_docs.columns, "shard", "slot"] and out.count() == wide_docs.count()
