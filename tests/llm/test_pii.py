@@ -97,3 +97,11 @@ def test_both_classes_on_both_sides(spark, n, held):
     sides = pii._split(pii._training(found, 1000)).select("label", "_hold").distinct().collect()
     assert sorted((r.label, r["_hold"]) for r in sides) == [(0.0, False), (0.0, True), (1.0, False), (1.0, True)]
     assert pii.fit(found)[0] is not None
+
+
+def test_the_trees_learn_from_every_row(spark, monkeypatch):
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the independently a"), "id", F.lit("@b.example")).alias("text"))
+    seen, split = [], pii._split
+    monkeypatch.setattr(pii, "_split", lambda train: seen.append(train.count()) or split(train))
+    assert pii.fit(pii.spans_table(docs))[0] is not None
+    assert seen == [12_001]  # each mail address, and one word
